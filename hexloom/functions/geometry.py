@@ -40,13 +40,10 @@ def square(x: Column, y: Column, side: Column) -> Column:
 def bounds(rings: Column) -> Column:
     """STRUCT<xmin,ymin,xmax,ymax> over all vertices; null for an empty geometry."""
     flat = F.flatten(rings)
-    first = F.get(flat, F.lit(0))
-    box = F.struct(first.x.alias("xmin"), first.y.alias("ymin"),
-                   first.x.alias("xmax"), first.y.alias("ymax"))
-    grown = F.aggregate(flat, box, lambda b, p: F.struct(
-        F.least(b.xmin, p.x).alias("xmin"), F.least(b.ymin, p.y).alias("ymin"),
-        F.greatest(b.xmax, p.x).alias("xmax"), F.greatest(b.ymax, p.y).alias("ymax")))
-    return F.when(F.size(flat) > 0, grown)
+    xs, ys = flat["x"], flat["y"]
+    box = F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
+                   F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+    return F.when(F.size(flat) > 0, box)
 
 
 def finite(rings: Column) -> Column:

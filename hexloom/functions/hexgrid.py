@@ -77,18 +77,6 @@ def outline(q: Column, r: Column, res: int) -> Column:
     return F.array(F.array(*[G.point(cx + dx, cy + dy) for dx, dy in corners]))
 
 
-def hex_planes(q: Column, r: Column, res: int) -> Column:
-    """Six half planes whose intersection is the cell."""
-    e = edge(res)
-    apothem = SQRT3 * e / 2
-    cx, cy = centre(q, r, res)
-    sides = []
-    for k in range(6):
-        a, b = math.cos(k * math.pi / 3), math.sin(k * math.pi / 3)
-        sides.append(G.plane(a, b, a * cx + b * cy + apothem))
-    return F.array(*sides)
-
-
 def row_range(ymin: Column, ymax: Column, res: int) -> tuple[Column, Column]:
     """Rows whose cells can reach the given band."""
     e = edge(res)
@@ -96,34 +84,6 @@ def row_range(ymin: Column, ymax: Column, res: int) -> tuple[Column, Column]:
             F.floor((ymax + e) / (1.5 * e)).cast("long"))
 
 
-def column_range(xmin: Column, xmax: Column, r: Column, res: int) -> tuple[Column, Column]:
-    """Columns of row r whose cells can reach the given band."""
-    w = SQRT3 * edge(res)
-    return (F.ceil(xmin / w - r / 2.0 - 0.5).cast("long"),
-            F.floor(xmax / w - r / 2.0 + 0.5).cast("long"))
-
-
 def span(lo: Column, hi: Column) -> Column:
     """Ascending whole numbers lo..hi, empty when hi < lo."""
     return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-
-
-def chord(s: Column, q: Column, r: Column, res: int) -> Column:
-    """Length of a straight piece inside a cell: three slabs, one per pair of parallel sides."""
-    e = edge(res)
-    apothem = SQRT3 * e / 2
-    cx, cy = centre(q, r, res)
-    x, y = s["x0"] - cx, s["y0"] - cy
-    dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
-    enter, leave = [F.lit(0.0)], [F.lit(1.0)]
-    for k in range(3):
-        a, b = math.cos(k * math.pi / 3), math.sin(k * math.pi / 3)
-        offset, speed = x * a + y * b, dx * a + dy * b
-        flat = F.abs(speed) < 1e-12
-        t0 = (-apothem - offset) / speed
-        t1 = (apothem - offset) / speed
-        outside = F.abs(offset) > apothem
-        enter.append(F.when(flat, F.when(outside, 2.0).otherwise(0.0)).otherwise(F.least(t0, t1)))
-        leave.append(F.when(flat, 1.0).otherwise(F.greatest(t0, t1)))
-    share = F.greatest(F.lit(0.0), F.least(*leave) - F.greatest(*enter))
-    return share * F.sqrt(dx * dx + dy * dy)

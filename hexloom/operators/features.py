@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexloom import vocab
@@ -18,21 +18,38 @@ from hexloom.functions import hexgrid as H
 OTHER = "other"
 
 
-def bucket(value: Column, words: Sequence[str]) -> Column:
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def any_of(value: str, words: Sequence[str]) -> str:
+    return f"{value} IN ({', '.join(quoted(w) for w in words)})"
+
+
+def bucket(value: str, words: Sequence[str]) -> str:
     """The value when listed, else ``other``; null is other."""
-    return F.when(value.isin(list(words)), value).otherwise(F.lit(OTHER))
+    return f"CASE WHEN {any_of(value, words)} THEN {value} ELSE '{OTHER}' END"
 
 
-def _sum_where(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0.0))
+def sum_where(condition: str, value: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN {value} END), 0D)"
 
 
-def _count_where(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0).cast("long"))
+def count_where(condition: str, value: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN {value} END), 0L)"
 
 
-def _share(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+def share(part: str, whole: str) -> str:
+    return f"coalesce(try_divide({part}, {whole}), 0D)"
+
+
+def per_cell(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row per cell; columns are SQL aggregates by output name.
+
+    Wide aggregates are written as SQL texts because building a Column costs a round trip to the
+    JVM per call, which for hundreds of columns takes longer than the query.
+    """
+    return df.groupBy("cell_id").agg(*[F.expr(sql).alias(name) for name, sql in columns.items()])
 
 
 def road_features(pieces: DataFrame, classes: Sequence[str] = vocab.ROAD_CLASSES,
@@ -41,52 +58,54 @@ def road_features(pieces: DataFrame, classes: Sequence[str] = vocab.ROAD_CLASSES
                   paved: Sequence[str] = vocab.PAVED_SURFACES,
                   unpaved: Sequence[str] = vocab.UNPAVED_SURFACES) -> DataFrame:
     """Clipped road pieces (one per road and cell, ``length_m``) to 65 columns per cell."""
-    ln = F.col("length_m")
-    total = F.sum(ln)
+    ln, total = "length_m", "sum(length_m)"
 
     def known(name):
-        return F.coalesce(F.sum(F.when(F.col(name).isNotNull(), ln)), F.lit(0.0))
+        return sum_where(f"{name} IS NOT NULL", ln)
 
     def weighted_mean(name):
-        return _share(F.sum(F.col(name) * ln), F.nullif(known(name), F.lit(0.0)))
+        return share(f"sum({name} * {ln})", f"nullif({known(name)}, 0D)")
 
     def flagged(name):
-        return _share(_sum_where(F.col(name), ln), total)
-
-    out = [total.alias("total_road_length_m"), F.count(F.lit(1)).alias("road_segment_count"),
-           F.avg(ln).alias("avg_edge_length_m")]
-    cls = bucket(F.col("road_class"), classes)
-    out += [_sum_where(cls == c, ln).alias(f"road_length_{c}_m") for c in [*classes, OTHER]]
-    out += [weighted_mean("speed_limit_kmh").alias("avg_maxspeed_kmh"),
-            _share(known("speed_limit_kmh"), total).alias("maxspeed_coverage_pct"),
-            weighted_mean("min_speed_kmh").alias("avg_min_speed_kmh"),
-            _share(known("min_speed_kmh"), total).alias("min_speed_coverage_pct"),
-            flagged("is_variable_speed").alias("has_variable_speed_pct")]
-    out += [flagged(c).alias(f"pct_{c}_length")
-            for c in ("is_bridge", "is_tunnel", "is_link", "is_under_construction")]
-    surface = F.col("road_surface")
-    out += [_share(known("road_surface"), total).alias("road_surface_coverage_pct"),
-            _share(_sum_where(surface.isin(list(paved)), ln), total).alias("road_surface_paved_pct"),
-            _share(_sum_where(surface.isin(list(unpaved)), ln), total)
-            .alias("road_surface_unpaved_pct")]
-    kind = bucket(surface, surfaces)
-    out += [_sum_where(surface.isNotNull() & (kind == c), ln).alias(f"road_surface_length_{c}_m")
-            for c in [*surfaces, OTHER]]
-    out += [_share(known("width_m"), total).alias("road_width_coverage_pct"),
-            weighted_mean("width_m").alias("avg_road_width_m"),
-            F.coalesce(F.max("width_m"), F.lit(0.0)).alias("max_road_width_m")]
-    out += [flagged(c).alias(f"pct_{c}_length")
-            for c in ("access_denied_foot", "access_denied_bicycle", "access_denied_hgv")]
-    out += [flagged("has_access_restriction").alias("has_access_restriction_pct")]
-    sub = bucket(F.col("subclass"), subclasses)
-    out += [_sum_where(F.col("subclass").isNotNull() & (sub == c), ln)
-            .alias(f"road_length_subclass_{c}_m") for c in [*subclasses, OTHER]]
-    out += [_share(known("road_name"), total).alias("named_road_pct"),
-            F.count_distinct("road_name").alias("unique_road_names"),
-            F.coalesce(F.sum("route_count"), F.lit(0)).cast("long").alias("route_count_total"),
-            F.coalesce(F.max(F.col("has_national_route").cast("double")), F.lit(0.0))
-            .alias("has_national_route")]
-    return pieces.groupBy("cell_id").agg(*out)
+        return share(sum_where(name, ln), total)
+
+    def lengths(name, words, prefix):
+        """Length per listed value, the rest in one column; null counts only for classes."""
+        rest = f"NOT coalesce({any_of(name, words)}, false)"
+        if name != "road_class":
+            rest = f"{name} IS NOT NULL AND {rest}"
+        return {**{f"{prefix}_{w}_m": sum_where(f"{name} = {quoted(w)}", ln) for w in words},
+                f"{prefix}_{OTHER}_m": sum_where(rest, ln)}
+
+    surface = "road_surface"
+    return per_cell(pieces, {
+        "total_road_length_m": total,
+        "road_segment_count": "count(1)",
+        "avg_edge_length_m": f"avg({ln})",
+        **lengths("road_class", classes, "road_length"),
+        "avg_maxspeed_kmh": weighted_mean("speed_limit_kmh"),
+        "maxspeed_coverage_pct": share(known("speed_limit_kmh"), total),
+        "avg_min_speed_kmh": weighted_mean("min_speed_kmh"),
+        "min_speed_coverage_pct": share(known("min_speed_kmh"), total),
+        "has_variable_speed_pct": flagged("is_variable_speed"),
+        **{f"pct_{c}_length": flagged(c)
+           for c in ("is_bridge", "is_tunnel", "is_link", "is_under_construction")},
+        "road_surface_coverage_pct": share(known(surface), total),
+        "road_surface_paved_pct": share(sum_where(any_of(surface, paved), ln), total),
+        "road_surface_unpaved_pct": share(sum_where(any_of(surface, unpaved), ln), total),
+        **lengths(surface, surfaces, "road_surface_length"),
+        "road_width_coverage_pct": share(known("width_m"), total),
+        "avg_road_width_m": weighted_mean("width_m"),
+        "max_road_width_m": "coalesce(max(width_m), 0D)",
+        **{f"pct_{c}_length": flagged(c)
+           for c in ("access_denied_foot", "access_denied_bicycle", "access_denied_hgv")},
+        "has_access_restriction_pct": flagged("has_access_restriction"),
+        **lengths("subclass", subclasses, "road_length_subclass"),
+        "named_road_pct": share(known("road_name"), total),
+        "unique_road_names": "count(DISTINCT road_name)",
+        "route_count_total": "coalesce(sum(route_count), 0L)",
+        "has_national_route": "coalesce(max(CAST(has_national_route AS DOUBLE)), 0D)",
+    })
 
 
 def poi_features(pois: DataFrame, categories: Sequence[str] = vocab.POI_CATEGORIES) -> DataFrame:
@@ -95,135 +114,128 @@ def poi_features(pois: DataFrame, categories: Sequence[str] = vocab.POI_CATEGORI
     A place becomes one token for its category and one per alternate; distinct values are then
     the groups of the first aggregation.
     """
-    token = lambda kind, value, n, alt: F.struct(
-        F.lit(kind).alias("kind"), value.alias("value"), F.lit(n).cast("long").alias("n"),
-        alt.cast("long").alias("alt"))
-    has_alt = F.col("categories_alt").isNotNull()
-    alternates = F.coalesce(F.array_distinct(F.split("categories_alt", r"\|")),
-                            F.array().cast("array<string>"))
-    tokens = F.concat(F.array(token("category", F.col("category"), 1, has_alt)),
-                      F.transform(alternates, lambda a: token("alternate", a, 0, F.lit(0))))
+    tokens = F.expr("""concat(
+        array(struct('category' AS kind, category AS value, 1L AS n,
+                     CAST(categories_alt IS NOT NULL AS BIGINT) AS alt)),
+        transform(coalesce(array_distinct(split(categories_alt, '[|]')), array()),
+                  a -> struct('alternate' AS kind, a AS value, 0L AS n, 0L AS alt)))""")
     by_value = (pois.select("cell_id", F.explode(tokens).alias("t"))
                 .groupBy("cell_id", F.col("t.kind").alias("kind"), F.col("t.value").alias("value"))
                 .agg(F.sum("t.n").alias("n"), F.sum("t.alt").alias("alt")))
-    main = F.col("kind") == "category"
-    cls = bucket(F.col("value"), categories)
-    distinct = lambda cond: F.count_if(cond & F.col("value").isNotNull())
-    return by_value.groupBy("cell_id").agg(
-        F.sum("n").alias("poi_count_total"),
-        distinct(main).alias("poi_category_diversity"),
-        *[_count_where(main & (cls == c), F.col("n")).alias(f"poi_count_{c}")
-          for c in [*categories, OTHER]],
-        distinct(~main).alias("poi_alt_category_diversity"),
-        (F.sum("alt") / F.sum("n")).alias("poi_has_alt_category_pct"))
+    main = "kind = 'category'"
+    rest = f"{main} AND NOT coalesce({any_of('value', categories)}, false)"
+    return per_cell(by_value, {
+        "poi_count_total": "sum(n)",
+        "poi_category_diversity": f"count_if({main} AND value IS NOT NULL)",
+        **{f"poi_count_{c}": count_where(f"{main} AND value = {quoted(c)}", "n") for c in categories},
+        f"poi_count_{OTHER}": count_where(rest, "n"),
+        "poi_alt_category_diversity": f"count_if(NOT {main} AND value IS NOT NULL)",
+        "poi_has_alt_category_pct": "sum(alt) / sum(n)",
+    })
 
 
 def building_features(buildings: DataFrame,
                       classes: Sequence[str] = vocab.BUILDING_CLASSES) -> DataFrame:
-    cls = bucket(F.coalesce("building_class", F.lit("unknown")), classes)
-    by_class = buildings.groupBy("cell_id", cls.alias("cls")).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("area_m2"), F.lit(0.0)).alias("area"),
-        F.sum("height").alias("h"), F.count("height").alias("hn"))
-    key = F.col("cls")
-    return by_class.groupBy("cell_id").agg(
-        F.sum("n").alias("building_count"), F.sum("area").alias("building_total_area_m2"),
-        *[_count_where(key == c, F.col("n")).alias(f"building_count_{c}") for c in [*classes, OTHER]],
-        *[_sum_where(key == c, F.col("area")).alias(f"building_area_{c}_m2")
-          for c in [*classes, OTHER]],
-        _share(F.sum("h"), F.sum("hn")).alias("avg_building_height_m"))
-
-
-def _area_by_class(pieces: DataFrame, cls: Column, words: Sequence[str], prefix: str,
+    cls = bucket("coalesce(building_class, 'unknown')", classes)
+    by_class = buildings.groupBy("cell_id", F.expr(cls).alias("cls")).agg(
+        F.expr("count(1) AS n"), F.expr("coalesce(sum(area_m2), 0D) AS area"),
+        F.expr("sum(height) AS h"), F.expr("count(height) AS hn"))
+    names = [*classes, OTHER]
+    return per_cell(by_class, {
+        "building_count": "sum(n)", "building_total_area_m2": "sum(area)",
+        **{f"building_count_{c}": count_where(f"cls = {quoted(c)}", "n") for c in names},
+        **{f"building_area_{c}_m2": sum_where(f"cls = {quoted(c)}", "area") for c in names},
+        "avg_building_height_m": share("sum(h)", "sum(hn)"),
+    })
+
+
+def _area_by_class(pieces: DataFrame, value: str, words: Sequence[str], prefix: str,
                    shares: dict[str, Sequence[str]]) -> DataFrame:
-    by_class = pieces.groupBy("cell_id", cls.alias("cls")).agg(F.sum("area_m2").alias("area"))
-    key, area = F.col("cls"), F.col("area")
-    total = F.sum("area")
-    clipped = lambda v: F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))
-    return by_class.groupBy("cell_id").agg(
-        total.alias(f"{prefix}_total_area_m2"),
-        *[_sum_where(key == c, area).alias(f"{prefix}_area_{c}_m2") for c in [*words, OTHER]],
-        *[clipped(_share(_sum_where(key.isin(list(group)), area), total)).alias(name)
-          for name, group in shares.items()])
+    by_class = (pieces.groupBy("cell_id", F.expr(bucket(value, words)).alias("cls"))
+                .agg(F.sum("area_m2").alias("area")))
+    part = lambda group: share(sum_where(any_of("cls", group), "area"), "sum(area)")
+    return per_cell(by_class, {
+        f"{prefix}_total_area_m2": "sum(area)",
+        **{f"{prefix}_area_{c}_m2": sum_where(f"cls = {quoted(c)}", "area") for c in [*words, OTHER]},
+        **{name: f"least(greatest({part(group)}, 0D), 1D)" for name, group in shares.items()},
+    })
 
 
 def landuse_features(pieces: DataFrame, classes: Sequence[str] = vocab.LANDUSE_CLASSES,
                      green: Sequence[str] = vocab.GREEN_LANDUSE,
                      built: Sequence[str] = vocab.BUILT_LANDUSE) -> DataFrame:
     """Clipped land-use pieces to areas per class; shares are tested after bucketing."""
-    value = F.coalesce("land_class", "land_type", F.lit(OTHER))
-    return _area_by_class(pieces, bucket(value, classes), classes, "landuse",
+    return _area_by_class(pieces, "coalesce(land_class, land_type)", classes, "landuse",
                           {"total_green_fraction": green, "total_built_fraction": built})
 
 
 def land_cover_features(pieces: DataFrame, subtypes: Sequence[str] = vocab.LAND_COVER_SUBTYPES,
                         green: Sequence[str] = vocab.GREEN_LAND_COVER,
                         urban: Sequence[str] = ("urban",)) -> DataFrame:
-    return _area_by_class(pieces, bucket(F.col("landcover_subtype"), subtypes), subtypes,
-                          "landcover", {"landcover_green_fraction": green,
-                                        "landcover_urban_fraction": urban})
+    return _area_by_class(pieces, "landcover_subtype", subtypes, "landcover",
+                          {"landcover_green_fraction": green, "landcover_urban_fraction": urban})
 
 
 def address_features(addresses: DataFrame) -> DataFrame:
-    present = lambda c: F.avg(F.col(c).isNotNull().cast("double"))
-    return addresses.groupBy("cell_id").agg(
-        F.count(F.lit(1)).alias("address_count_total"),
-        present("postcode").alias("address_has_postcode_pct"),
-        present("unit").alias("address_has_unit_pct"),
-        F.count_distinct("street").alias("address_unique_streets"))
+    return per_cell(addresses, {
+        "address_count_total": "count(1)",
+        "address_has_postcode_pct": "avg(CAST(postcode IS NOT NULL AS DOUBLE))",
+        "address_has_unit_pct": "avg(CAST(unit IS NOT NULL AS DOUBLE))",
+        "address_unique_streets": "count(DISTINCT street)",
+    })
 
 
 def infrastructure_features(items: DataFrame,
                             classes: Sequence[str] = vocab.INFRASTRUCTURE_CLASSES) -> DataFrame:
-    by_class = items.groupBy("cell_id", "infra_class").agg(F.count(F.lit(1)).alias("n"))
-    cls = bucket(F.col("infra_class"), classes)
-    return by_class.groupBy("cell_id").agg(
-        F.sum("n").alias("infra_count_total"), F.count("infra_class").alias("infra_class_diversity"),
-        *[_count_where(cls == c, F.col("n")).alias(f"infra_count_{c}") for c in [*classes, OTHER]])
+    by_class = items.groupBy("cell_id", "infra_class").agg(F.expr("count(1) AS n"))
+    rest = f"NOT coalesce({any_of('infra_class', classes)}, false)"
+    return per_cell(by_class, {
+        "infra_count_total": "sum(n)", "infra_class_diversity": "count(infra_class)",
+        **{f"infra_count_{c}": count_where(f"infra_class = {quoted(c)}", "n") for c in classes},
+        f"infra_count_{OTHER}": count_where(rest, "n"),
+    })
 
 
 def connector_features(connectors: DataFrame, res: int) -> DataFrame:
     """Count and density; the density uses the nominal cell area of the resolution."""
     nominal_km2 = 2.598 * (H.edge(res) / 1000) ** 2
-    n = F.count(F.lit(1))
-    return connectors.groupBy("cell_id").agg(
-        n.alias("connector_count_total"), (n / nominal_km2).alias("connector_density_per_km2"))
+    return per_cell(connectors, {"connector_count_total": "count(1)",
+                                 "connector_density_per_km2": f"count(1) / {nominal_km2!r}D"})
 
 
 def building_part_features(parts: DataFrame) -> DataFrame:
-    zero = F.lit(0.0)
-    return parts.groupBy("cell_id").agg(
-        F.count(F.lit(1)).alias("building_part_count"),
-        F.coalesce(F.sum("area_m2"), zero).alias("building_part_total_area_m2"),
-        F.coalesce(F.avg("height"), zero).alias("building_part_avg_height_m"),
-        F.coalesce(F.avg("num_floors"), zero).alias("building_part_avg_num_floors"),
-        F.count_if(F.col("is_underground")).alias("building_part_underground_count"))
+    return per_cell(parts, {
+        "building_part_count": "count(1)",
+        "building_part_total_area_m2": "coalesce(sum(area_m2), 0D)",
+        "building_part_avg_height_m": "coalesce(avg(height), 0D)",
+        "building_part_avg_num_floors": "coalesce(avg(num_floors), 0D)",
+        "building_part_underground_count": "count_if(is_underground)",
+    })
 
 
 def division_features(points: DataFrame, area_pieces: DataFrame, boundary_pieces: DataFrame) -> DataFrame:
     """Three sources with the same key become one relation, so one aggregation serves all."""
-    level = lambda c: F.col(c).cast("double")
-    none = lambda t: F.lit(None).cast(t)
-    rows = (points.select("cell_id", F.lit("point").alias("k"), level("admin_level").alias("lv"),
-                          none("double").alias("len"))
-            .unionByName(area_pieces.select("cell_id", F.lit("area").alias("k"),
-                                            none("double").alias("lv"), none("double").alias("len")))
-            .unionByName(boundary_pieces.select("cell_id", F.lit("line").alias("k"),
-                                                none("double").alias("lv"),
-                                                F.col("length_m").alias("len"))))
-    return rows.groupBy("cell_id").agg(
-        F.count_if(F.col("k") == "point").alias("division_count"),
-        F.coalesce(F.min("lv"), F.lit(0.0)).alias("division_min_admin_level"),
-        F.coalesce(F.max("lv"), F.lit(0.0)).alias("division_max_admin_level"),
-        F.count_if(F.col("k") == "area").alias("division_area_count"),
-        F.coalesce(F.sum("len"), F.lit(0.0)).alias("division_boundary_length_m"))
+    rows = (points.selectExpr("cell_id", "'point' AS k", "CAST(admin_level AS DOUBLE) AS lv",
+                              "CAST(NULL AS DOUBLE) AS len")
+            .unionByName(area_pieces.selectExpr("cell_id", "'area' AS k", "CAST(NULL AS DOUBLE) AS lv",
+                                                "CAST(NULL AS DOUBLE) AS len"))
+            .unionByName(boundary_pieces.selectExpr("cell_id", "'line' AS k",
+                                                    "CAST(NULL AS DOUBLE) AS lv", "length_m AS len")))
+    return per_cell(rows, {
+        "division_count": "count_if(k = 'point')",
+        "division_min_admin_level": "coalesce(min(lv), 0D)",
+        "division_max_admin_level": "coalesce(max(lv), 0D)",
+        "division_area_count": "count_if(k = 'area')",
+        "division_boundary_length_m": "coalesce(sum(len), 0D)",
+    })
 
 
 def bathymetry_features(pieces: DataFrame, res: int) -> DataFrame:
-    area = F.sum("area_m2")
-    share = area / H.true_cell_area(res)
-    return pieces.groupBy("cell_id").agg(
-        area.alias("bathymetry_area_m2"),
-        F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)).alias("bathymetry_fraction"))
+    return per_cell(pieces, {
+        "bathymetry_area_m2": "sum(area_m2)",
+        "bathymetry_fraction":
+            f"least(greatest(sum(area_m2) / {H.true_cell_area(res)!r}D, 0D), 1D)",
+    })
 
 
 def join_on_grid(grid: DataFrame, layers: Sequence[DataFrame]) -> DataFrame:
@@ -233,12 +245,13 @@ def join_on_grid(grid: DataFrame, layers: Sequence[DataFrame]) -> DataFrame:
     grid moves. Cells outside the grid drop out.
     """
     wide = grid
-    fill: list[Column] = [F.col(c) for c in grid.columns]
     for layer in layers:
         wide = wide.join(layer, "cell_id", "left")
-        fill += [F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name)
-                 for f in layer.schema.fields if f.name != "cell_id"]
-    return wide.select(*fill)
+    fixed = set(grid.columns)
+    return wide.selectExpr(*[
+        f"`{f.name}`" if f.name in fixed
+        else f"coalesce(`{f.name}`, CAST(0 AS {f.dataType.simpleString()})) AS `{f.name}`"
+        for f in wide.schema.fields])
 
 
 def log1p_columns(columns: Sequence[str]) -> list[str]:
@@ -249,19 +262,18 @@ def log1p_columns(columns: Sequence[str]) -> list[str]:
 
 def ml_features(wide: DataFrame) -> DataFrame:
     """Add log1p companions and 0/1 indicators in one projection."""
-    logs = [F.log1p(F.col(c).cast("double")).alias(f"log1p_{c}") for c in log1p_columns(wide.columns)]
-    flags = [(F.col(src) > 0).cast("int").alias(dst)
-             for src, dst in vocab.INDICATORS.items() if src in wide.columns]
-    return wide.select("*", *logs, *flags)
+    columns = wide.columns
+    logs = [f"log1p(CAST(`{c}` AS DOUBLE)) AS `log1p_{c}`" for c in log1p_columns(columns)]
+    flags = [f"CAST(`{src}` > 0 AS INT) AS `{dst}`"
+             for src, dst in vocab.INDICATORS.items() if src in columns]
+    return wide.selectExpr("*", *logs, *flags)
 
 
 def pixel_means(pixels: DataFrame, bands: int, band: str = "band") -> DataFrame:
     """Mean of every band per cell and the pixel count; a pixel counts when band 0 is a number."""
-    valid = pixels.where(F.get(band, F.lit(0)).isNotNull() & ~F.isnan(F.get(band, F.lit(0))))
-    value = lambda i: F.get(band, F.lit(i)).cast("double")
-    return valid.groupBy("cell_id").agg(
-        F.count(F.lit(1)).alias("pixel_count"),
-        *[F.avg(value(i)).alias(f"A{i:02d}") for i in range(bands)])
+    valid = pixels.where(f"get({band}, 0) IS NOT NULL AND NOT isnan(get({band}, 0))")
+    return per_cell(valid, {"pixel_count": "count(1)", **{
+        f"A{i:02d}": f"avg(CAST(get({band}, {i}) AS DOUBLE))" for i in range(bands)}})
 
 
 def pixel_summary(means: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from hexloom.functions import geometry as G
 from hexloom.functions import hexgrid as H
+from hexloom.functions import kernels as K
+from hexloom.functions.kernels import BLOCK
 
-BLOCK = 16            # cells per block side
 SPREAD_BLOCKS = 64    # polygons over more blocks than this are redistributed
 MIN_AREA_M2 = 1e-6    # smaller pieces are rounding residue of touching borders
 
@@ -42,55 +43,11 @@ def assign_points(df: DataFrame, res: int, x: Column, y: Column, cell: str = "ce
 
 # -- lines ---------------------------------------------------------------------------------------
 
-def _row_pieces(s: Column, r: Column, res: int) -> Column:
-    """Pieces of one straight segment in the cells of row r."""
-    e = H.edge(res)
-    cy = r * (1.5 * e)
-    dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
-    level = F.abs(dy) < 1e-9
-    at = lambda y, flat: F.when(level, F.lit(flat)).otherwise(
-        F.least(F.greatest((y - s["y0"]) / dy, F.lit(0.0)), F.lit(1.0)))
-    band = F.struct((s["x0"] + at(cy - e, 0.0) * dx).alias("a"),
-                    (s["x0"] + at(cy + e, 1.0) * dx).alias("b"))
-
-    def cells(v):
-        lo, hi = H.column_range(F.least(v.a, v.b), F.greatest(v.a, v.b), r, res)
-        return F.transform(H.span(lo, hi), lambda q: F.struct(
-            q.alias("q"), r.alias("r"), H.chord(s, q, r, res).alias("m")))
-
-    return G.bind(band, cells)
-
-
-def _merge_runs(pieces: Column) -> Column:
-    """Add up the pieces of the same cell: sort, then sum each run."""
-    def runs(ordered):
-        index = F.sequence(F.lit(1), F.size(ordered))
-        starts = F.filter(index, lambda i: (i == 1) | G.bind(
-            F.struct(F.get(ordered, i - 2).alias("p"), F.get(ordered, i - 1).alias("n")),
-            lambda v: (v.p.q != v.n.q) | (v.p.r != v.n.r)))
-
-        def total(start, k, all_starts):
-            stop = F.coalesce(F.get(all_starts, k + 1), F.size(ordered) + 1)
-            return G.bind(F.slice(ordered, start, stop - start), lambda run: F.struct(
-                F.get(run, F.lit(0)).q.alias("q"), F.get(run, F.lit(0)).r.alias("r"),
-                F.aggregate(run, F.lit(0.0), lambda t, p: t + p.m).alias("m")))
-
-        return G.bind(starts, lambda st: F.transform(st, lambda s, k: total(s, k, st)))
-
-    return F.when(F.size(pieces) < 2, pieces).otherwise(G.bind(F.array_sort(pieces), runs))
-
-
 def clip_lines(lines: DataFrame, res: int, parts: str = "rings", measure: str = "length_m") -> DataFrame:
     """One row per (line, cell) with the length inside the cell. The geometry is dropped."""
-    def of_segment(s):
-        lo, hi = H.row_range(F.least(s.y0, s.y1), F.greatest(s.y0, s.y1), res)
-        return F.flatten(F.transform(H.span(lo, hi), lambda r: _row_pieces(s, r, res)))
-
-    segs = G.segments(F.col(parts))
-    pieces = F.filter(F.flatten(F.transform(segs, of_segment)), lambda p: p.m > 0)
-    merged = F.when(F.size(segs) == 1, pieces).otherwise(_merge_runs(pieces))
     others = [c for c in lines.columns if c != parts]
-    return (lines.select(*others, F.explode(merged).alias("_p"))
+    return (lines.select(*others, K.line_pieces(F.col(parts), res).alias("_p"))
+            .select(*others, F.explode("_p").alias("_p"))
             .select(*others, H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
                     F.col("_p.m").alias(measure)))
 
@@ -126,7 +83,7 @@ def _clip_to_box(rings: Column, box: Column, rect: dict[str, Column]) -> Column:
 
 def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
                     region: Bounds | None = None, spread: bool = True) -> DataFrame:
-    """Cut polygons into blocks of cells; adds ``_i``, ``_j``, ``_box`` and ``_whole``.
+    """Cut polygons into blocks of cells; adds the block coordinates ``_i`` and ``_j``.
 
     With ``spread`` the few polygons that cover many blocks are exploded in their own branch and
     redistributed, so a country-sized polygon does not stay in one task.
@@ -165,50 +122,33 @@ def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
         pieces = stacked(strips(ranged))
 
     rect = _block_box(F.col("_i"), F.col("_j"), res)
-    cut = pieces.select(*others, "_i", "_j",
-                        _clip_to_box(F.col(rings), F.col("_box"), rect).alias(rings))
-    cut = cut.where(F.size(rings) > 0)
-    full = (rect["xmax"] - rect["xmin"]) * (rect["ymax"] - rect["ymin"])
-    return cut.select(*others, rings, "_i", "_j", G.bounds(F.col(rings)).alias("_box"),
-                      (G.area(F.col(rings)) >= full * (1 - 1e-12)).alias("_whole"))
-
-
-def _block_cells(blocks: DataFrame, res: int) -> DataFrame:
-    """Explode the cells of each block that the piece's box can reach; adds ``_q``, ``_r``."""
-    box = F.col("_box")
-    r0, r1 = H.row_range(box.ymin, box.ymax, res)
-    first_row = F.col("_j") * BLOCK
-    rows = H.span(F.greatest(r0, first_row), F.least(r1, first_row + (BLOCK - 1)))
-    with_rows = blocks.withColumn("_r", F.explode(rows))
-    r = F.col("_r")
-    shift = F.floor(r / 2.0).cast("long")
-    q0, q1 = H.column_range(box.xmin, box.xmax, r, res)
-    first = F.col("_i") * BLOCK - shift
-    return with_rows.withColumn(
-        "_q", F.explode(H.span(F.greatest(q0, first), F.least(q1, first + (BLOCK - 1)))))
+    return (pieces.select(*others, "_i", "_j",
+                          _clip_to_box(F.col(rings), F.col("_box"), rect).alias(rings))
+            .where(F.size(rings) > 0))
 
 
 def clip_polygons(polygons: DataFrame, res: int, rings: str = "rings", measure: str = "area_m2",
                   region: Bounds | None = None, spread: bool = True) -> DataFrame:
     """One row per (polygon, cell) with the overlapping area. The geometry is dropped."""
-    blocks = split_to_blocks(polygons, res, rings, region, spread)
-    cells = _block_cells(blocks, res)
-    q, r = F.col("_q"), F.col("_r")
-    overlap = F.when(F.col("_whole"), F.lit(H.true_cell_area(res))).otherwise(
-        G.area(G.clip(F.col(rings), H.hex_planes(q, r, res))))
     others = [c for c in polygons.columns if c not in (rings, measure)]
-    return (cells.select(*others, H.cell_name(q, r, res).alias("cell_id"), overlap.alias(measure))
-            .where(F.col(measure) > MIN_AREA_M2))
+    source = polygons.select(*others, rings)
+    blocks = split_to_blocks(source, res, rings, region, spread)
+    pieces = K.polygon_pieces(F.col(rings), F.col("_i"), F.col("_j"), res)
+    return (blocks.select(*others, pieces.alias("_p"))
+            .select(*others, F.explode("_p").alias("_p"))
+            .where(F.col("_p.m") > MIN_AREA_M2)
+            .select(*others, H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
+                    F.col("_p.m").alias(measure)))
 
 
 def hex_grid(boundary: DataFrame, res: int, rings: str = "rings", spread: bool = True) -> DataFrame:
     """Cells whose centre lies inside the boundary: cell_id, q, r, cell_area_m2."""
-    cells = _block_cells(split_to_blocks(boundary.select(rings), res, rings, None, spread), res)
-    q, r = F.col("_q"), F.col("_r")
-    cx, cy = H.centre(q, r, res)
-    inside = cells.where(F.col("_whole") | G.contains(F.col(rings), cx, cy))
-    return inside.select(H.cell_name(q, r, res).alias("cell_id"), q.alias("q"), r.alias("r"),
-                         F.lit(H.true_cell_area(res)).alias("cell_area_m2"))
+    blocks = split_to_blocks(boundary.select(rings), res, rings, None, spread)
+    cells = K.covered_cells(F.col(rings), F.col("_i"), F.col("_j"), res)
+    p = blocks.select(cells.alias("_p")).select(F.explode("_p").alias("_p"))
+    return p.select(H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
+                    F.col("_p.q").alias("q"), F.col("_p.r").alias("r"),
+                    F.lit(H.true_cell_area(res)).alias("cell_area_m2"))
 
 
 # -- boundary filter -----------------------------------------------------------------------------

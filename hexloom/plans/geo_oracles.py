@@ -7,9 +7,9 @@ lines by three slabs and integrates square-hexagon overlaps between breakpoints.
 from __future__ import annotations
 
 E = "174e0"
-W = "301.37684052647819e0"      # sqrt(3) * 174
-HALF_W = "150.68842026323909e0"
 SQ3 = "1.7320508075688772e0"
+W = f"({SQ3}*{E})"
+HALF_W = f"({SQ3}*{E}/2e0)"
 
 
 def px(key: str, side: int) -> str:
@@ -302,14 +302,14 @@ def sql() -> dict[str, str]:
       round(min_speed_kmh,6) min_speed_kmh, is_variable_speed from ({ROADS})"""
     bcls = {"house": "p_type='ECONOMY'", "garage": "p_type='STANDARD'", "school": "p_type='PROMO'",
             "unknown": "p_type in ('LARGE','SMALL')", "barn": "false", "other": "p_type='MEDIUM'"}
-    out["building_hex"] = f"""select cell_id, count(*) building_count, round(sum(area),4) building_total_area_m2,
-      round(coalesce(avg(case when p_size%5<>0 then p_retailprice/100 end),0e0),4) avg_building_height_m,
+    out["building_hex"] = f"""select cell_id, count(*) building_count, round(sum(area),9) building_total_area_m2,
+      round(coalesce(avg(case when p_size%5<>0 then p_retailprice/100 end),0e0),9) avg_building_height_m,
       {', '.join(f"count(*) filter (where {v}) building_count_{k}" for k, v in bcls.items())},
-      {', '.join(f"round(coalesce(sum(area) filter (where {v}),0e0),4) building_area_{k}_m2" for k, v in bcls.items())}
+      {', '.join(f"round(coalesce(sum(area) filter (where {v}),0e0),9) building_area_{k}_m2" for k, v in bcls.items())}
       from ({CENTRED}) group by 1"""
-    out["building_part_hex"] = f"""select cell_id, count(*) building_part_count, round(sum(area),4) building_part_total_area_m2,
-      round(coalesce(avg(case when p_size%5<>0 then p_retailprice/100 end),0e0),4) building_part_avg_height_m,
-      round(coalesce(avg(case when p_size%4<>0 then cast(p_size%9 as double) end),0e0),4) building_part_avg_num_floors,
+    out["building_part_hex"] = f"""select cell_id, count(*) building_part_count, round(sum(area),9) building_part_total_area_m2,
+      round(coalesce(avg(case when p_size%5<>0 then p_retailprice/100 end),0e0),9) building_part_avg_height_m,
+      round(coalesce(avg(case when p_size%4<>0 then cast(p_size%9 as double) end),0e0),9) building_part_avg_num_floors,
       count(*) filter (where p_size%7=0) building_part_underground_count from ({CENTRED}) group by 1"""
     out["landuse_hex"] = f"""select cell_id, round(total,4) landuse_total_area_m2,
       {', '.join(f'round(a_{c},4) landuse_area_{c}_m2' for c in ['forest', 'park', 'residential', 'industrial', 'other'])},

@@ -20,9 +20,9 @@ RES = TB.RES
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison: sums depend on the order of addition."""
-    return df.select(*[F.round(f.name, digits).alias(f.name)
-                       if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[f"round(`{f.name}`, {digits}) AS `{f.name}`"
+                           if f.dataType.typeName() == "double" else f"`{f.name}`"
+                           for f in df.schema.fields])
 
 
 def at_points(df: DataFrame) -> DataFrame:
@@ -167,11 +167,11 @@ def building_hex(spark, folder):
     names = ["house", "garage", "school", "unknown", "barn", "other"]
     return rounded(building_layer(spark, folder).select(
         "cell_id", "building_count", "building_total_area_m2", "avg_building_height_m",
-        *[f"building_count_{c}" for c in names], *[f"building_area_{c}_m2" for c in names]), 4)
+        *[f"building_count_{c}" for c in names], *[f"building_area_{c}_m2" for c in names]), 9)
 
 
 def building_part_hex(spark, folder):
-    return rounded(building_part_layer(spark, folder), 4)
+    return rounded(building_part_layer(spark, folder), 9)
 
 
 def landuse_hex(spark, folder):

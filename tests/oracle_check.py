@@ -88,7 +88,7 @@ def main() -> int:
     spark = build_session(master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "8g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     queries, oracles = entry.queries(), entry.oracle_sql()
     con = connect(args.sf)
     failed = 0
@@ -101,7 +101,7 @@ def main() -> int:
             else:
                 problems, state = [], f"rows {queries[name](spark, args.sf).count()} (no sql)"
         except Exception as exc:
-            problems, state = [f"{type(exc).__name__}: {str(exc)[:1500]}"], "ERROR"
+            problems, state = [f"{type(exc).__name__}: {str(exc)[:600]}"], "ERROR"
         failed += state in ("DIFF", "ERROR")
         print(f"{name:32s} {state:8s} {time.time() - t0:6.2f}s", *problems, sep="  ", flush=True)
     return 1 if failed else 0
