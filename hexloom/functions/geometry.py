@@ -152,114 +152,11 @@ def segments(parts: Column) -> Column:
     return F.flatten(F.transform(parts, of))
 
 
-def ring_edges(rings: Column) -> Column:
-    """All edges of a polygon geometry, the closing edge included."""
-    def of(ring):
-        return F.transform(ring, lambda p, i: bind(
-            F.get(ring, F.when(i == 0, F.size(ring) - 1).otherwise(i - 1)),
-            lambda q: F.struct(q.x.alias("x0"), q.y.alias("y0"),
-                               p.x.alias("x1"), p.y.alias("y1"))))
-    return F.flatten(F.transform(rings, of))
-
-
 def length(parts: Column) -> Column:
     return F.aggregate(segments(parts), F.lit(0.0), lambda s, e: s + F.sqrt(
         (e.x1 - e.x0) * (e.x1 - e.x0) + (e.y1 - e.y0) * (e.y1 - e.y0)))
 
 
-def contains(rings: Column, x: Column, y: Column) -> Column:
-    """Even-odd point in polygon test over every ring."""
-    def ring_test(ring):
-        end = last(ring)
-        start = F.struct(end.x.alias("x"), end.y.alias("y"), F.lit(False).alias("odd"))
-
-        def step(acc, p):
-            straddles = (acc.y > y) != (p.y > y)
-            left = x < (p.x - acc.x) * (y - acc.y) / F.nullif(p.y - acc.y, F.lit(0.0)) + acc.x
-            return F.struct(p.x.alias("x"), p.y.alias("y"),
-                            (acc.odd != (straddles & F.coalesce(left, F.lit(False)))).alias("odd"))
-
-        return F.aggregate(ring, start, step, lambda acc: acc.odd)
-
-    return F.aggregate(F.filter(rings, lambda r: F.size(r) >= 3), F.lit(False),
-                       lambda odd, ring: odd != ring_test(ring))
-
-
-def _side(a, px, py):
-    """Orientation of a point against the directed edge a."""
-    return (a.x1 - a.x0) * (py - a.y0) - (a.y1 - a.y0) * (px - a.x0)
-
-
-def _within_box(a, px, py):
-    return (px.between(F.least(a.x0, a.x1), F.greatest(a.x0, a.x1))
-            & py.between(F.least(a.y0, a.y1), F.greatest(a.y0, a.y1)))
-
-
-def edges_meet(a: Column, b: Column) -> Column:
-    """True when two closed straight pieces share a point."""
-    s1, s2 = _side(a, b.x0, b.y0), _side(a, b.x1, b.y1)
-    s3, s4 = _side(b, a.x0, a.y0), _side(b, a.x1, a.y1)
-    proper = (F.signum(s1) * F.signum(s2) < 0) & (F.signum(s3) * F.signum(s4) < 0)
-    touch = (((s1 == 0) & _within_box(a, b.x0, b.y0)) | ((s2 == 0) & _within_box(a, b.x1, b.y1))
-             | ((s3 == 0) & _within_box(b, a.x0, a.y0)) | ((s4 == 0) & _within_box(b, a.x1, a.y1)))
-    return proper | touch
-
-
-def intersects(rings: Column, kind: Column, polygon: Column) -> Column:
-    """Geometry against a polygon geometry; touching counts."""
-    border = ring_edges(polygon)
-    vertex_in = F.exists(F.flatten(rings), lambda p: contains(polygon, p.x, p.y))
-    point_on = F.exists(F.flatten(rings), lambda p: F.exists(
-        border, lambda e: (_side(e, p.x, p.y) == 0) & _within_box(e, p.x, p.y)))
-    own = F.when(kind.isin(*POLYGON_KINDS), ring_edges(rings)).otherwise(segments(rings))
-    crossing = F.exists(own, lambda e: F.exists(border, lambda b: edges_meet(e, b)))
-    covered = F.exists(F.flatten(polygon), lambda p: contains(rings, p.x, p.y))
-    return (vertex_in
-            | F.when(kind.isin(*POINT_KINDS), point_on).otherwise(crossing)
-            | F.when(kind.isin(*POLYGON_KINDS), covered).otherwise(F.lit(False)))
-
-
-def clip_ring(ring: Column, planes: Column) -> Column:
-    """Cut a ring by half planes STRUCT<a,b,c>, keeping a*x + b*y <= c."""
-    def cut(kept, h):
-        def visit(cur, i, measured):
-            def emit(prev):
-                def crossing():
-                    t = prev.d / (prev.d - cur.d)
-                    return point(prev.x + (cur.x - prev.x) * t, prev.y + (cur.y - prev.y) * t)
-                keep = point(cur.x, cur.y)
-                return (F.when((prev.d <= 0) & (cur.d <= 0), F.array(keep))
-                         .when((prev.d <= 0) & (cur.d > 0), F.array(crossing()))
-                         .when((prev.d > 0) & (cur.d <= 0), F.array(crossing(), keep))
-                         .otherwise(F.array().cast(f"array<{POINT_TYPE}>")))
-            return bind(F.get(measured, F.when(i == 0, F.size(measured) - 1).otherwise(i - 1)),
-                        emit)
-
-        with_distance = F.transform(kept, lambda p: F.struct(
-            p.x.alias("x"), p.y.alias("y"), (h.a * p.x + h.b * p.y - h.c).alias("d")))
-        return F.when(F.size(kept) == 0, kept).otherwise(bind(
-            with_distance,
-            lambda m: F.when(F.forall(m, lambda p: p.d <= 0), kept).otherwise(
-                F.flatten(F.transform(m, lambda p, i: visit(p, i, m))))))
-
-    return F.aggregate(planes, ring, cut)
-
-
-def clip(rings: Column, planes: Column) -> Column:
-    """Cut every ring and drop those that vanish."""
-    cut = F.transform(rings, lambda r: clip_ring(r, planes))
-    return F.filter(cut, lambda r: F.size(r) >= 3)
-
-
-def plane(a, b, c) -> Column:
-    to = lambda v: v.cast("double") if isinstance(v, Column) else F.lit(float(v))
-    return F.struct(to(a).alias("a"), to(b).alias("b"), to(c).alias("c"))
-
-
-def box_planes(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    return F.array(plane(-1, 0, -xmin), plane(1, 0, xmax), plane(0, -1, -ymin), plane(0, 1, ymax))
-
-
 def repair(rings: Column) -> Column:
     """Drop repeated vertices and the closing copy, then rings with fewer than three left."""
     def tidy(ring):

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hexloom.functions.geometry import RINGS_TYPE
 from hexloom.functions.hexgrid import SQRT3, edge
 
 PIECES_TYPE = "array<struct<q:bigint,r:bigint,m:double>>"
@@ -226,6 +227,115 @@ def _arrow(run):
     return F.arrow_udf(run, PIECES_TYPE).asNondeterministic()
 
 
+def box_batch(column: pa.Array, xmin, ymin, xmax, ymax) -> pa.Array:
+    """Rings cut to a box per row; rings that vanish are dropped."""
+    g = _Rings(column)
+    ring_row, ring = g.by_ring()
+    loop, at = _counting(g.start[ring], g.stop[ring] - 1)
+    x, y = g.x[at], g.y[at]
+    lo_x, lo_y, hi_x, hi_y = (v.to_numpy()[ring_row] for v in (xmin, ymin, xmax, ymax))
+    for a, b, limit in ((-1.0, 0.0, -lo_x), (1.0, 0.0, hi_x), (0.0, -1.0, -lo_y), (0.0, 1.0, hi_y)):
+        if len(x):
+            x, y, loop = _cut(x, y, loop, a, b, limit[loop])
+    sizes = np.bincount(loop, minlength=len(ring))
+    keep = sizes >= 3
+    x, y = x[keep[loop]], y[keep[loop]]
+    inner = np.concatenate([[0], np.cumsum(sizes[keep])])
+    outer = np.concatenate([[0], np.cumsum(np.bincount(ring_row[keep], minlength=g.rows))])
+    points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), points)
+    return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), rings)
+
+
+def _edges(g: _Rings, closed: np.ndarray):
+    """Row, start and end of every edge; the closing edge only for closed rows."""
+    ring_row, ring = g.by_ring()
+    loop, at = _counting(g.start[ring], g.stop[ring] - 1)
+    row = ring_row[loop]
+    prev = _previous(loop) if len(loop) else loop
+    keep = closed[row] | (prev == np.arange(len(loop)) - 1) & (prev >= 0)
+    keep &= g.stop[ring][loop] - g.start[ring][loop] > 1
+    return row[keep], np.stack([g.x[at][prev[keep]], g.y[at][prev[keep]], g.x[at][keep], g.y[at][keep]])
+
+
+def _pairs_by_row(a: np.ndarray, b: np.ndarray, rows: int):
+    """Index pairs (into a, into b) of entries with the same row; both sorted by row."""
+    first = np.searchsorted(b, np.arange(rows))
+    end = np.searchsorted(b, np.arange(rows), side="right")
+    return _counting(first[a], end[a] - 1)
+
+
+def _side(e, px, py):
+    return (e[2] - e[0]) * (py - e[1]) - (e[3] - e[1]) * (px - e[0])
+
+
+def _on(e, px, py, side):
+    return ((side == 0) & (px >= np.minimum(e[0], e[2])) & (px <= np.maximum(e[0], e[2]))
+            & (py >= np.minimum(e[1], e[3])) & (py <= np.maximum(e[1], e[3])))
+
+
+def _meet(a, b):
+    """True where two straight pieces share a point."""
+    s1, s2 = _side(a, b[0], b[1]), _side(a, b[2], b[3])
+    s3, s4 = _side(b, a[0], a[1]), _side(b, a[2], a[3])
+    proper = (np.sign(s1) * np.sign(s2) < 0) & (np.sign(s3) * np.sign(s4) < 0)
+    return (proper | _on(a, b[0], b[1], s1) | _on(a, b[2], b[3], s2)
+            | _on(b, a[0], a[1], s3) | _on(b, a[2], a[3], s4))
+
+
+def _vertex_inside(points: _Rings, row: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Rows with a vertex on or inside the even-odd polygon of the row's edges."""
+    ring_row, ring = points.by_ring()
+    loop, at = _counting(points.start[ring], points.stop[ring] - 1)
+    vertex_row = ring_row[loop]
+    k, m = _pairs_by_row(vertex_row, row, points.rows)
+    px, py, e = points.x[at][k], points.y[at][k], edges[:, m]
+    straddles = (e[1] > py) != (e[3] > py)
+    rise = np.where(straddles, e[3] - e[1], 1.0)
+    right = straddles & (px < e[0] + (py - e[1]) * (e[2] - e[0]) / rise)
+    odd = np.bincount(k, weights=right, minlength=len(vertex_row)) % 2 == 1
+    on = np.bincount(k, weights=_on(e, px, py, _side(e, px, py)), minlength=len(vertex_row)) > 0
+    return np.bincount(vertex_row, weights=odd | on, minlength=points.rows) > 0
+
+
+def _meets(column: pa.Array, kinds: pa.Array, other: pa.Array) -> np.ndarray:
+    g, p = _Rings(column), _Rings(other)
+    solid = np.isin(np.asarray(kinds.to_pylist(), dtype=object), ["Polygon", "MultiPolygon"])
+    everywhere = np.ones(g.rows, dtype=bool)
+    border_row, border = _edges(p, everywhere)
+    own_row, own = _edges(g, solid)
+    hit = _vertex_inside(g, border_row, border)
+    k, m = _pairs_by_row(own_row, border_row, g.rows)
+    crossing = _meet(own[:, k], border[:, m])
+    hit |= np.bincount(own_row[k], weights=crossing, minlength=g.rows) > 0
+    shell = solid[own_row]
+    return hit | solid & _vertex_inside(p, own_row[shell], own[:, shell])
+
+
+def meets_batch(column: pa.Array, kinds: pa.Array, other: pa.Array) -> pa.Array:
+    """Geometry of each row against the polygon of the same row; touching counts.
+
+    Pairs of edges are compared for a bounded number of rows at a time.
+    """
+    size = np.maximum(_vertex_counts(_Rings(column)) * (_vertex_counts(_Rings(other)) + 1), 1)
+    parts = [_meets(column[s], kinds[s], other[s]) for s in _chunks(size)]
+    return pa.array(np.concatenate(parts) if parts else np.empty(0, dtype=bool), pa.bool_())
+
+
+def cut_to_box(rings: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for args in batches:
+            yield box_batch(*args)
+    return F.arrow_udf(run, RINGS_TYPE).asNondeterministic()(rings, xmin, ymin, xmax, ymax)
+
+
+def meets(rings: Column, kind: Column, polygon: Column) -> Column:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for args in batches:
+            yield meets_batch(*args)
+    return F.arrow_udf(run, "boolean")(rings, kind, polygon)
+
+
 def line_pieces(parts: Column, res: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

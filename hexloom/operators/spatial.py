@@ -74,13 +74,6 @@ def _block_box(i: Column, j: Column, res: int) -> dict[str, Column]:
             "ymax": (j * BLOCK + BLOCK - 1) * (1.5 * e) + e}
 
 
-def _clip_to_box(rings: Column, box: Column, rect: dict[str, Column]) -> Column:
-    inside = ((box["xmin"] >= rect["xmin"]) & (box["xmax"] <= rect["xmax"])
-              & (box["ymin"] >= rect["ymin"]) & (box["ymax"] <= rect["ymax"]))
-    planes = G.box_planes(rect["xmin"], rect["ymin"], rect["xmax"], rect["ymax"])
-    return F.when(inside, rings).otherwise(G.clip(rings, planes))
-
-
 def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
                     region: Bounds | None = None, spread: bool = True) -> DataFrame:
     """Cut polygons into blocks of cells; adds the block coordinates ``_i`` and ``_j``.
@@ -108,22 +101,23 @@ def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
     def stacked(df):
         return df.withColumn("_j", F.explode(H.span(F.col("_n.j0"), F.col("_n.j1"))))
 
+    pieces = stacked(strips(ranged.where(blocks <= SPREAD_BLOCKS) if spread else ranged))
     if spread:
-        small = stacked(strips(ranged.where(blocks <= SPREAD_BLOCKS)))
         edges = _block_box(F.col("_i"), F.lit(0), res)
-        cut_strip = G.clip(F.col(rings), F.array(G.plane(-1, 0, -edges["xmin"]),
-                                                 G.plane(1, 0, edges["xmax"])))
+        b = F.col("_box")
         large = (strips(ranged.where(blocks > SPREAD_BLOCKS))
-                 .withColumn(rings, cut_strip).where(F.size(rings) > 0)
-                 .repartition("_i", "_box"))
-        large = stacked(large.withColumn("_box", G.bounds(F.col(rings))))
-        pieces = small.unionByName(large.select(*small.columns))
-    else:
-        pieces = stacked(strips(ranged))
-
-    rect = _block_box(F.col("_i"), F.col("_j"), res)
-    return (pieces.select(*others, "_i", "_j",
-                          _clip_to_box(F.col(rings), F.col("_box"), rect).alias(rings))
+                 .withColumn(rings, K.cut_to_box(F.col(rings), edges["xmin"], b.ymin, edges["xmax"], b.ymax))
+                 .where(F.size(rings) > 0)
+                 .repartition("_i", "_box")
+                 .withColumn("_box", G.bounds(F.col(rings))))
+        pieces = pieces.unionByName(stacked(large).select(*pieces.columns))
+
+    rect, b = _block_box(F.col("_i"), F.col("_j"), res), F.col("_box")
+    inside = ((b.xmin >= rect["xmin"]) & (b.xmax <= rect["xmax"])
+              & (b.ymin >= rect["ymin"]) & (b.ymax <= rect["ymax"]))
+    cut = K.cut_to_box(F.when(~inside, F.col(rings)), rect["xmin"], rect["ymin"], rect["xmax"], rect["ymax"])
+    return (pieces.select(*others, "_i", "_j", inside.alias("_in"), rings, cut.alias("_cut"))
+            .select(*others, "_i", "_j", F.when(F.col("_in"), F.col(rings)).otherwise(F.col("_cut")).alias(rings))
             .where(F.size(rings) > 0))
 
 
@@ -161,12 +155,13 @@ def _boundary_tiles(boundary: DataFrame, rings: str, box: Bounds, side: float) -
     index = F.sequence(F.lit(-1), F.lit(TILES_PER_SIDE + 1))
     x0 = F.col("_ti") * side + box.xmin
     y0 = F.col("_tj") * side + box.ymin
-    strip = F.array(G.plane(-1, 0, -x0), G.plane(1, 0, x0 + 2 * side))
-    rect = F.array(G.plane(0, -1, -y0), G.plane(0, 1, y0 + 2 * side))
+    low, high = F.lit(box.ymin), F.lit(box.ymax)
+    strip = K.cut_to_box(F.col("_b"), x0, low, x0 + 2 * side, high)
+    piece = K.cut_to_box(F.col("_s"), x0, y0, x0 + 2 * side, y0 + 2 * side)
     return (boundary.select(F.col(rings).alias("_b"), F.explode(index).alias("_ti"))
-            .select("_ti", G.clip(F.col("_b"), strip).alias("_s")).where(F.size("_s") > 0)
+            .select("_ti", strip.alias("_s")).where(F.size("_s") > 0)
             .select("_ti", "_s", F.explode(index).alias("_tj"))
-            .select("_ti", "_tj", G.clip(F.col("_s"), rect).alias("_piece"))
+            .select("_ti", "_tj", piece.alias("_piece"))
             .where(F.size("_piece") > 0)
             .select("_ti", "_tj", "_piece",
                     (G.area(F.col("_piece")) >= 4 * side * side * (1 - 1e-12)).alias("_cover")))
@@ -189,13 +184,13 @@ def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "
     fits = ((F.col("_fb.xmax") - F.col("_fb.xmin") <= side)
             & (F.col("_fb.ymax") - F.col("_fb.ymin") <= side))
     tile = lambda v, origin: F.floor((v - origin) / side).cast("int")
-    meets = G.intersects(F.col(rings), F.col(kind), F.col("_piece"))
+    meets = K.meets(F.col(rings), F.col(kind), F.col("_piece"))
 
     small = (near.where(fits)
              .withColumn("_ti", tile(F.col("_fb.xmin"), box.xmin))
              .withColumn("_tj", tile(F.col("_fb.ymin"), box.ymin))
              .join(tiles, ["_ti", "_tj"])
-             .where(F.col("_cover") | meets).select(*names))
+             .withColumn("_hit", F.col("_cover") | meets).where("_hit").select(*names))
 
     last = TILES_PER_SIDE + 1
     reach = lambda lo, hi, origin: F.sequence(
@@ -203,6 +198,6 @@ def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "
     large = (near.where(~fits)
              .withColumn("_ti", F.explode(reach("_fb.xmin", "_fb.xmax", box.xmin)))
              .withColumn("_tj", F.explode(reach("_fb.ymin", "_fb.ymax", box.ymin)))
-             .join(tiles, ["_ti", "_tj"]).where(meets)
+             .join(tiles, ["_ti", "_tj"]).withColumn("_hit", meets).where("_hit")
              .dropDuplicates([key]).select(*names))
     return small.unionByName(large)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hexloom.functions import attributes as A
 from hexloom.functions import geometry as G
+from hexloom.session import fill_cluster
 
 RES = 9
 SIDE = {"customer": 2000, "supplier": 700, "part": 2000, "orders": 5000, "lineitem": 5000,
@@ -22,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Named columns of a table, spread over the cluster ahead of heavy per-row work."""
+    return fill_cluster(table(spark, folder, name).select(*columns))
+
+
 def plane_x(key: Column, side: int) -> Column:
     return ((key * 7919) % side).cast("double")
 
@@ -82,7 +88,9 @@ def nested_roads(spark: SparkSession, folder: str) -> DataFrame:
     modes = F.array(F.when(pkey % 12 == 0, F.lit("foot")), F.when(skey % 4 == 0, F.lit("HGV")),
                     F.when(pkey % 18 == 0, F.lit("bicycle")))
     network = F.when(skey % 2 == 0, F.lit("AU:A")).otherwise(F.lit("AU:M"))
-    return table(spark, folder, "lineitem").select(
+    lines = wide_table(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                       "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    return lines.select(
         F.concat_ws("-", okey, ln, pkey, skey).alias("feature_id"),
         F.when(F.col("l_returnflag") == "A", "primary")
         .when(F.col("l_returnflag") == "N", "residential")
@@ -120,7 +128,8 @@ def polygons(spark: SparkSession, folder: str, scale: int = 1) -> DataFrame:
     """Parts as axis-parallel squares with side p_size * scale."""
     key, side = F.col("p_partkey"), SIDE["part"]
     size = (F.col("p_size") * scale).cast("double")
-    return table(spark, folder, "part").select(
+    parts = wide_table(spark, folder, "part", "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
+    return parts.select(
         key.alias("feature_id"), F.col("p_type"), F.col("p_brand"), F.col("p_size"),
         F.col("p_retailprice"),
         G.square(plane_x(key, side), plane_y(key, side), size).alias("rings"))

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Call sites in error messages cost milliseconds per Column call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -26,6 +28,17 @@ def build_session(app: str = "hexloom", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def fill_cluster(df):
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A table in one row group is read by one task, whatever follows. Fewer splits than cores means
+    little data, so the exchange is small; a large table has more splits and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is configured."""
     context = spark.sparkContext
