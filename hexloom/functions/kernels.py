@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hexloom.functions import projection as P
 from hexloom.functions.geometry import RINGS_TYPE
 from hexloom.functions.hexgrid import SQRT3, edge
 
@@ -247,6 +248,29 @@ def box_batch(column: pa.Array, xmin, ymin, xmax, ymax) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), rings)
 
 
+def _rebuilt(column: pa.Array, x: np.ndarray, y: np.ndarray) -> pa.Array:
+    """The same nesting over new coordinates."""
+    points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+    rings = pa.ListArray.from_arrays(column.values.offsets, points)
+    return pa.ListArray.from_arrays(column.offsets, rings)
+
+
+def utm_batch(column: pa.Array, zone: int, south: bool) -> pa.Array:
+    """Longitude and latitude of every vertex to UTM metres."""
+    g = _Rings(column)
+    sin_phi = np.sin(np.radians(g.y))
+    lam = np.radians(g.x - (zone * 6.0 - 183.0))
+    tau = np.sinh(np.arctanh(sin_phi) - P.ECC * np.arctanh(P.ECC * sin_phi))
+    xi, eta = np.arctan2(tau, np.cos(lam)), np.arctanh(np.sin(lam) / np.sqrt(1.0 + tau * tau))
+    north, east = xi.copy(), eta.copy()
+    for j, a in enumerate(P.ALPHA, start=1):
+        north += a * np.sin(2.0 * j * xi) * np.cosh(2.0 * j * eta)
+        east += a * np.cos(2.0 * j * xi) * np.sinh(2.0 * j * eta)
+    radius = P.SCALE * P.RECTIFYING
+    shift = P.FALSE_NORTHING_SOUTH if south else 0.0
+    return _rebuilt(column, P.FALSE_EASTING + radius * east, shift + radius * north)
+
+
 def _edges(g: _Rings, closed: np.ndarray):
     """Row, start and end of every edge; the closing edge only for closed rows."""
     ring_row, ring = g.by_ring()
@@ -322,6 +346,13 @@ def meets_batch(column: pa.Array, kinds: pa.Array, other: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(parts) if parts else np.empty(0, dtype=bool), pa.bool_())
 
 
+def to_utm_rings(rings: Column, zone: int, south: bool) -> Column:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield utm_batch(batch, zone, south)
+    return F.arrow_udf(run, RINGS_TYPE).asNondeterministic()(rings)
+
+
 def cut_to_box(rings: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for args in batches:

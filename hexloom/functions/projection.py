@@ -17,18 +17,18 @@ FALSE_EASTING = 500000.0
 FALSE_NORTHING_SOUTH = 10000000.0
 
 _N = FLATTENING / (2 - FLATTENING)
-_RECTIFYING = SEMI_MAJOR_M / (1 + _N) * (1 + _N ** 2 / 4 + _N ** 4 / 64)
+RECTIFYING = SEMI_MAJOR_M / (1 + _N) * (1 + _N ** 2 / 4 + _N ** 4 / 64)
 # Krueger series to the third order.
-_ALPHA = (_N / 2 - 2 * _N ** 2 / 3 + 5 * _N ** 3 / 16,
+ALPHA = (_N / 2 - 2 * _N ** 2 / 3 + 5 * _N ** 3 / 16,
           13 * _N ** 2 / 48 - 3 * _N ** 3 / 5,
           61 * _N ** 3 / 240)
-_BETA = (_N / 2 - 2 * _N ** 2 / 3 + 37 * _N ** 3 / 96,
+BETA = (_N / 2 - 2 * _N ** 2 / 3 + 37 * _N ** 3 / 96,
          _N ** 2 / 48 + _N ** 3 / 15,
          17 * _N ** 3 / 480)
-_DELTA = (2 * _N - 2 * _N ** 2 / 3 - 2 * _N ** 3,
+DELTA = (2 * _N - 2 * _N ** 2 / 3 - 2 * _N ** 3,
           7 * _N ** 2 / 3 - 8 * _N ** 3 / 5,
           56 * _N ** 3 / 15)
-_ECC = 2 * math.sqrt(_N) / (1 + _N)
+ECC = 2 * math.sqrt(_N) / (1 + _N)
 
 
 def utm_zone(lon: Column) -> Column:
@@ -54,19 +54,19 @@ def to_utm(lon: Column, lat: Column, zone: int | Column, south: bool | Column) -
     is_south = south if isinstance(south, Column) else F.lit(south)
     phi, lam = F.radians(lat), F.radians(lon - centre)
     sin_phi = F.sin(phi)
-    tau = F.sinh(F.atanh(sin_phi) - _ECC * F.atanh(_ECC * sin_phi))
+    tau = F.sinh(F.atanh(sin_phi) - ECC * F.atanh(ECC * sin_phi))
     base = F.struct(F.atan2(tau, F.cos(lam)).alias("xi"),
                     F.atanh(F.sin(lam) / F.sqrt(1.0 + tau * tau)).alias("eta"))
 
     def spread(v):
         xi, eta = v.xi, v.eta
         north, east = xi, eta
-        for j, a in enumerate(_ALPHA, start=1):
+        for j, a in enumerate(ALPHA, start=1):
             north = north + a * F.sin(2.0 * j * xi) * F.cosh(2.0 * j * eta)
             east = east + a * F.cos(2.0 * j * xi) * F.sinh(2.0 * j * eta)
         shift = F.when(is_south, F.lit(FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-        return G.point(FALSE_EASTING + SCALE * _RECTIFYING * east,
-                       shift + SCALE * _RECTIFYING * north)
+        return G.point(FALSE_EASTING + SCALE * RECTIFYING * east,
+                       shift + SCALE * RECTIFYING * north)
 
     return G.bind(base, spread)
 
@@ -74,12 +74,12 @@ def to_utm(lon: Column, lat: Column, zone: int | Column, south: bool | Column) -
 def from_utm(x: Column, y: Column, zone: int, south: bool) -> Column:
     """STRUCT<x,y> longitude and latitude in degrees."""
     shift = FALSE_NORTHING_SOUTH if south else 0.0
-    xi = (y - shift) / (SCALE * _RECTIFYING)
-    eta = (x - FALSE_EASTING) / (SCALE * _RECTIFYING)
+    xi = (y - shift) / (SCALE * RECTIFYING)
+    eta = (x - FALSE_EASTING) / (SCALE * RECTIFYING)
 
     def unspread(v):
         xi1, eta1 = v.xi, v.eta
-        for j, b in enumerate(_BETA, start=1):
+        for j, b in enumerate(BETA, start=1):
             xi1 = xi1 - b * F.sin(2.0 * j * v.xi) * F.cosh(2.0 * j * v.eta)
             eta1 = eta1 - b * F.cos(2.0 * j * v.xi) * F.sinh(2.0 * j * v.eta)
         return G.bind(F.struct(xi1.alias("xi"), eta1.alias("eta")), finish)
@@ -87,15 +87,9 @@ def from_utm(x: Column, y: Column, zone: int, south: bool) -> Column:
     def finish(v):
         chi = F.asin(F.sin(v.xi) / F.cosh(v.eta))
         phi = chi
-        for j, d in enumerate(_DELTA, start=1):
+        for j, d in enumerate(DELTA, start=1):
             phi = phi + d * F.sin(2.0 * j * chi)
         lon = zone * 6.0 - 183.0 + F.degrees(F.atan2(F.sinh(v.eta), F.cos(v.xi)))
         return G.point(lon, F.degrees(phi))
 
     return G.bind(F.struct(xi.alias("xi"), eta.alias("eta")), unspread)
-
-
-def project_rings(rings: Column, zone: int, south: bool) -> Column:
-    """Every vertex of a lon/lat geometry in UTM metres."""
-    return F.transform(rings, lambda ring: F.transform(
-        ring, lambda p: to_utm(p.x, p.y, zone, south)))

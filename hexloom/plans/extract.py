@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hexloom import schema as S
 from hexloom.functions import attributes as A
 from hexloom.functions import geometry as G
+from hexloom.functions import kernels as K
 from hexloom.functions import projection as P
 from hexloom.operators.spatial import bounds_of, filter_intersecting
 from hexloom.sources import lake
@@ -53,7 +54,7 @@ def _columns(df: DataFrame, flat: dict[str, Column], kinds: Sequence[str] | None
 
 
 def _area(zone: Zone) -> Column:
-    return G.area(P.project_rings(F.col("rings"), zone.number, zone.south))
+    return G.area(K.to_utm_rings(F.col("rings"), zone.number, zone.south))
 
 
 def _class(name: str = "class") -> Column:

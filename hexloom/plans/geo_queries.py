@@ -14,6 +14,8 @@ from hexloom.operators import spatial as SP
 from hexloom.plans import testbed as TB
 from hexloom.sources import lake, pixels as PX
 from hexloom.sources.geometry_decode import from_geojson
+from hexloom.streaming import pixels as PS
+from hexloom.streaming.incidents import scratch
 
 RES = TB.RES
 
@@ -339,6 +341,14 @@ def satellite_hex_mean(spark, folder):
     return rounded(satellite_means(spark, folder), 6)
 
 
+def satellite_stream_mean(spark, folder):
+    """The same means from a stream with saved partial sums."""
+    shape = TB.table(spark, folder, "embeddings").schema
+    raw = spark.readStream.schema(shape).option("pathGlobFilter", "embeddings.parquet").parquet(folder)
+    placed = at_points(TB.pixel_columns(raw))
+    return rounded(PS.resumable_means(spark, placed, 64, scratch(spark, "pixels")), 6)
+
+
 def satellite_summary(spark, folder):
     return rounded(FE.pixel_summary(satellite_means(spark, folder)))
 
@@ -369,5 +379,6 @@ QUERIES = {f.__name__: f for f in (
     road_attributes, building_hex, building_part_hex, landuse_hex, landcover_fraction,
     bathymetry_hex, division_counts, hex_grid, cell_outline, bbox_filter, polygon_filter,
     line_filter, utm_project, geometry_decode, hex_features_wide, hex_ml_features, hex_ml_schema,
-    schema_violations, layer_manifest, satellite_hex_mean, satellite_summary,
+    schema_violations, layer_manifest, satellite_hex_mean,
+    satellite_stream_mean, satellite_summary,
     merge_features_embeddings, merge_match_counts, pixel_grid)}

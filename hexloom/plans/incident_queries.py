@@ -270,8 +270,15 @@ def incident_stream_lifecycle(spark, folder):
     return naive(SI.newest_rows(spark, out, ["incident_id"]))
 
 
+def incident_closed(spark, folder):
+    """Stream: incidents that were not seen for an hour, by a timer per incident."""
+    stream = SI.closed_incidents(_event_stream(spark, folder), "1 hour", 60)
+    out = _stream_result(spark, stream, "append", "closed")
+    return naive(spark.read.parquet(out).drop("batch"))
+
+
 QUERIES = {f.__name__: f for f in (
     incident_normalise_a, incident_normalise_b, incident_normalise_c, incident_latest,
     incident_counts, incident_lifecycle, incident_history, backfill_windows, poll_outcomes,
     partition_keys, incident_durations, incident_stream_dedup, incident_hourly,
-    incident_stream_lifecycle)}
+    incident_stream_lifecycle, incident_closed)}

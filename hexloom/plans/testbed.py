@@ -197,8 +197,12 @@ def division_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pixels(spark: SparkSession, folder: str) -> DataFrame:
+    return pixel_columns(table(spark, folder, "embeddings"))
+
+
+def pixel_columns(embeddings: DataFrame) -> DataFrame:
     key, side = F.col("vec_id"), SIDE["embeddings"]
-    return table(spark, folder, "embeddings").select(
+    return embeddings.select(
         key.alias("pixel_id"), (key % 16).alias("tile"), F.col("embedding").alias("band"),
         plane_x(key, side).alias("x"), plane_y(key, side).alias("y"))
 

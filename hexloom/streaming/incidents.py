@@ -105,8 +105,8 @@ def newest_rows(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
             .drop("_n", "batch"))
 
 
-CLOSED = "incident_id string, first_seen timestamp, last_seen timestamp, sightings bigint"
-_STATE = "first_seen double, last_seen double, sightings bigint"
+_CLOSED = "incident_id string, first_us bigint, last_us bigint, sightings bigint"
+_STATE = "first_us bigint, last_us bigint, sightings bigint"
 
 
 def closed_incidents(incidents: DataFrame, delay: str, quiet_minutes: int = 60) -> DataFrame:
@@ -120,20 +120,21 @@ def closed_incidents(incidents: DataFrame, delay: str, quiet_minutes: int = 60)
         if state.hasTimedOut:
             first, last, n = state.get
             state.remove()
-            yield pd.DataFrame({
-                "incident_id": [key[0]], "first_seen": [pd.Timestamp(first, unit="s")],
-                "last_seen": [pd.Timestamp(last, unit="s")], "sightings": [n]})
+            yield pd.DataFrame({"incident_id": [key[0]], "first_us": [first], "last_us": [last],
+                                "sightings": [n]})
             return
-        first, last, n = state.get if state.exists else (float("inf"), float("-inf"), 0)
+        first, last, n = state.get if state.exists else (None, None, 0)
         for pdf in batches:
-            seconds = pdf["seconds"]
-            first, last, n = min(first, seconds.min()), max(last, seconds.max()), n + len(pdf)
-        state.update((float(first), float(last), int(n)))
-        deadline = max(int(last * 1000) + quiet_ms, state.getCurrentWatermarkMs() + 1)
-        state.setTimeoutTimestamp(deadline)
+            low, high = int(pdf["us"].min()), int(pdf["us"].max())
+            first = low if first is None else min(first, low)
+            last = high if last is None else max(last, high)
+            n += len(pdf)
+        state.update((first, last, n))
+        state.setTimeoutTimestamp(max(last // 1000 + quiet_ms, state.getCurrentWatermarkMs() + 1))
 
     timed = (incidents.withWatermark("collected_at", delay)
-             .select("incident_id", "collected_at",
-                     (F.unix_micros("collected_at") / 1e6).alias("seconds")))
-    return timed.groupBy("incident_id").applyInPandasWithState(
-        step, CLOSED, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+             .select("incident_id", "collected_at", F.unix_micros("collected_at").alias("us")))
+    closed = timed.groupBy("incident_id").applyInPandasWithState(
+        step, _CLOSED, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return closed.select("incident_id", F.timestamp_micros("first_us").alias("first_seen"),
+                         F.timestamp_micros("last_us").alias("last_seen"), "sightings")
