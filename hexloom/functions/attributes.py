@@ -9,12 +9,12 @@ from hexloom import vocab
 
 MPH_IN_KMH = 1.60934
 
-# Nested input types, one place for readers and tests.
-SPEED = "struct<value:string,unit:string>"
+# Nested input types, one place for readers and tests. The parsers also take texts for numbers.
+SPEED = "struct<value:int,unit:string>"
 SPEED_LIMITS = f"array<struct<max_speed:{SPEED},min_speed:{SPEED},when:struct<during:string>>>"
 SURFACES = "array<struct<value:string>>"
-WIDTHS = "array<struct<value:string>>"
-LEVELS = "array<struct<value:string>>"
+WIDTHS = "array<struct<value:double>>"
+LEVELS = "array<struct<value:int>>"
 SUBCLASSES = "array<struct<value:string>>"
 FLAGS = "array<struct<values:array<string>>>"
 ACCESS = "array<struct<access_type:string,when:struct<mode:array<string>>>>"
@@ -35,10 +35,13 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def first_value(entries: Column, read) -> Column:
-    """First non-null result of ``read`` over an array of structs."""
-    found = F.filter(F.transform(entries, read), lambda v: v.isNotNull())
-    return F.get(found, F.lit(0))
+def lines_of(texts: Column) -> Column:
+    """All non-null texts in lower case, one per line, with a line break at both ends."""
+    return F.concat(F.lit("\n"), F.lower(F.array_join(texts, "\n")), F.lit("\n"))
+
+
+def first_present(values: Column) -> Column:
+    return F.get(F.array_compact(values), F.lit(0))
 
 
 def speed_kmh(speed: Column) -> Column:
@@ -47,22 +50,28 @@ def speed_kmh(speed: Column) -> Column:
     return F.when(is_mph, value * MPH_IN_KMH).otherwise(value)
 
 
+def _first_speed(speeds: Column) -> Column:
+    readable = F.filter(speeds, lambda s: number(s["value"]).isNotNull())
+    return speed_kmh(F.get(readable, F.lit(0)))
+
+
 def max_speed_kmh(limits: Column) -> Column:
-    return first_value(limits, lambda e: speed_kmh(e["max_speed"]))
+    """First readable maximum, in km/h."""
+    return _first_speed(limits["max_speed"])
 
 
 def min_speed_kmh(limits: Column) -> Column:
-    return first_value(limits, lambda e: speed_kmh(e["min_speed"]))
+    return _first_speed(limits["min_speed"])
 
 
 def is_variable_speed(limits: Column) -> Column:
-    scoped = F.exists(limits, lambda e: F.coalesce(e["when"]["during"] != "", F.lit(False)))
-    return F.coalesce(scoped, F.lit(False))
+    """Some entry is limited to a period."""
+    return F.coalesce(F.array_join(limits["when"]["during"], "") != "", F.lit(False))
 
 
 def level(rules: Column) -> Column:
     """First rule that is a whole number; its extent along the line is ignored."""
-    return first_value(rules, lambda e: whole(e["value"]))
+    return first_present(rules["value"].try_cast("array<int>"))
 
 
 def is_bridge(rules: Column) -> Column:
@@ -75,47 +84,40 @@ def is_tunnel(rules: Column) -> Column:
 
 def first_text(entries: Column) -> Column:
     """First stated value of surface or subclass rules; an empty text counts as none."""
-    return blank_to_null(first_value(entries, lambda e: e["value"]))
+    return blank_to_null(first_present(entries["value"]))
 
 
 def first_number(entries: Column) -> Column:
-    return first_value(entries, lambda e: number(e["value"]))
+    return first_present(entries["value"].try_cast("array<double>"))
 
 
 def has_flag(flags: Column, word: str) -> Column:
     """Any flag text that contains the word, whatever its case."""
-    texts = F.flatten(F.transform(
-        F.filter(flags, lambda e: e["values"].isNotNull()), lambda e: e["values"]))
-    return F.coalesce(
-        F.exists(texts, lambda v: F.coalesce(F.lower(v).contains(word), F.lit(False))), F.lit(False))
-
-
-def _denials(access: Column) -> Column:
-    return F.filter(access, lambda e: F.lower(e["access_type"]) == "denied")
+    texts = F.flatten(F.array_compact(flags["values"]))
+    return F.coalesce(lines_of(texts).contains(word), F.lit(False))
 
 
 def is_restricted(access: Column) -> Column:
-    return F.coalesce(F.size(_denials(access)) > 0, F.lit(False))
+    return F.coalesce(lines_of(access["access_type"]).contains("\ndenied\n"), F.lit(False))
 
 
 def is_denied(access: Column, mode: str) -> Column:
     """Some denial names the mode; a denial without modes names none."""
-    named = lambda e: F.exists(F.coalesce(e["when"]["mode"], F.array().cast("array<string>")),
-                               lambda m: F.coalesce(F.lower(m) == mode, F.lit(False)))
-    return F.coalesce(F.exists(_denials(access), named), F.lit(False))
+    denials = F.filter(access, lambda e: F.lower(e["access_type"]) == "denied")
+    modes = F.flatten(F.array_compact(denials["when"]["mode"]))
+    return F.coalesce(lines_of(modes).contains(f"\n{mode}\n"), F.lit(False))
 
 
 def route_count(routes: Column) -> Column:
-    keys = F.transform(routes, lambda e: F.concat(
-        F.coalesce(e["network"], F.lit("")), F.lit(":"), F.coalesce(e["ref"], F.lit(""))))
-    return F.when(routes.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(keys)))
+    """Distinct pairs of network and reference."""
+    pairs = F.arrays_zip(routes["network"].alias("network"), routes["ref"].alias("ref"))
+    return F.when(routes.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(pairs)))
 
 
 def has_national_route(routes: Column) -> Column:
-    pattern = "^(" + "|".join(vocab.NATIONAL_NETWORKS) + ")"
-    return F.coalesce(
-        F.exists(routes, lambda e: F.coalesce(e["network"].rlike(pattern), F.lit(False))),
-        F.lit(False))
+    """A network that starts with one of the national ones."""
+    pattern = "(?m)^(" + "|".join(vocab.NATIONAL_NETWORKS) + ")"
+    return F.coalesce(F.array_join(routes["network"], "\n").rlike(pattern), F.lit(False))
 
 
 def primary_name(names: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hexloom.functions import geometry as G
 from hexloom.functions import values as V
+from hexloom.functions.plan import once
 from hexloom.schema import INCIDENT
 from hexloom.sources.snapshots import GEOMETRY, first_coordinate
 
@@ -62,12 +63,12 @@ FEED_C = Feed("dtpvic", "melbourne", CITY_BOXES["melbourne"], """struct<id:strin
 
 
 def parse_features(features: DataFrame, feed: Feed) -> DataFrame:
-    """Adds id, properties and the representative coordinate to feature texts."""
+    """Adds id, properties and the representative coordinate to feature texts, parsed once."""
     shape = f"id string, geometry {GEOMETRY}, properties {feed.properties}"
     names = [c for c in features.columns if c != "source"]
-    parsed = features.select(*names, F.from_json("feature", shape).alias("_f"))
+    parsed = features.select(*names, once(F.from_json("feature", shape)).alias("_f"))
     return parsed.select(*names, F.col("_f.id").alias("id"), F.col("_f.properties").alias("p"),
-                         first_coordinate(F.col("_f.geometry")).alias("at"))
+                         once(first_coordinate(F.col("_f.geometry"))).alias("at"))
 
 
 def _conform(df: DataFrame, feed: Feed, columns: dict[str, Column]) -> DataFrame:

@@ -15,6 +15,7 @@ from hexloom.functions import geometry as G
 from hexloom.functions import hexgrid as H
 from hexloom.functions import kernels as K
 from hexloom.functions.kernels import BLOCK
+from hexloom.functions.plan import once
 
 SPREAD_BLOCKS = 64    # polygons over more blocks than this are redistributed
 MIN_AREA_M2 = 1e-6    # smaller pieces are rounding residue of touching borders
@@ -82,7 +83,7 @@ def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
     redistributed, so a country-sized polygon does not stay in one task.
     """
     others = [c for c in polygons.columns if c != rings]
-    box = G.bounds(F.col(rings))
+    box = once(G.bounds(F.col(rings)))
     located = polygons.select(*others, rings, box.alias("_box")).where(F.col("_box").isNotNull())
     reach = F.col("_box")
     if region is not None:
@@ -147,57 +148,59 @@ def hex_grid(boundary: DataFrame, res: int, rings: str = "rings", spread: bool =
 
 # -- boundary filter -----------------------------------------------------------------------------
 
-TILES_PER_SIDE = 64   # a boundary becomes at most 65 x 65 tiles, small enough to send everywhere
+LEVELS = (64, 16, 4, 1)  # tiles per side; a boundary becomes at most about 5000 pieces, small enough to send everywhere
 
 
-def _boundary_tiles(boundary: DataFrame, rings: str, box: Bounds, side: float) -> DataFrame:
-    """Boundary pieces by tile; each piece covers its tile and the next one up and right."""
-    index = F.sequence(F.lit(-1), F.lit(TILES_PER_SIDE + 1))
-    x0 = F.col("_ti") * side + box.xmin
-    y0 = F.col("_tj") * side + box.ymin
-    low, high = F.lit(box.ymin), F.lit(box.ymax)
-    strip = K.cut_to_box(F.col("_b"), x0, low, x0 + 2 * side, high)
+def _boundary_tiles(boundary: DataFrame, rings: str, box: Bounds, extent: float) -> DataFrame:
+    """Boundary pieces by level and tile; a piece covers its tile and the next one up and right.
+
+    The last level holds the whole boundary, for features larger than it.
+    """
+    b = boundary.select(F.col(rings).alias("_b"))
+    levels = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(extent / n).alias("side"), F.lit(n).alias("n"))
+                       for k, n in enumerate(LEVELS)])
+    side, n = F.col("_lv.side"), F.col("_lv.n")
+    x0, y0 = F.col("_ti") * side + box.xmin, F.col("_tj") * side + box.ymin
+    strip = K.cut_to_box(F.col("_b"), x0, F.lit(box.ymin), x0 + 2 * side, F.lit(box.ymax))
     piece = K.cut_to_box(F.col("_s"), x0, y0, x0 + 2 * side, y0 + 2 * side)
-    return (boundary.select(F.col(rings).alias("_b"), F.explode(index).alias("_ti"))
-            .select("_ti", strip.alias("_s")).where(F.size("_s") > 0)
-            .select("_ti", "_s", F.explode(index).alias("_tj"))
-            .select("_ti", "_tj", piece.alias("_piece"))
-            .where(F.size("_piece") > 0)
-            .select("_ti", "_tj", "_piece",
-                    (G.area(F.col("_piece")) >= 4 * side * side * (1 - 1e-12)).alias("_cover")))
+    index = F.sequence(F.lit(-1), n + 1)
+    tiles = (b.select("_b", F.explode(levels).alias("_lv"))
+             .select("_b", "_lv", F.explode(index).alias("_ti"))
+             .select("_lv", "_ti", strip.alias("_s")).where(F.size("_s") > 0)
+             .select("_lv", "_ti", "_s", F.explode(index).alias("_tj"))
+             .select("_lv", "_ti", "_tj", piece.alias("_piece")).where(F.size("_piece") > 0)
+             .select(F.col("_lv.k").alias("_level"), "_ti", "_tj", "_piece",
+                     (G.area(F.col("_piece")) >= 4 * side * side * (1 - 1e-12)).alias("_cover")))
+    whole = b.select(F.lit(len(LEVELS)).alias("_level"), F.lit(0).alias("_ti"), F.lit(0).alias("_tj"),
+                     F.col("_b").alias("_piece"), F.lit(False).alias("_cover"))
+    return tiles.unionByName(whole).withColumn("_pb", G.bounds(F.col("_piece")))
 
 
 def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "rings",
-                        kind: str = "geom_type", key: str = "feature_id",
-                        boundary_rings: str = "rings") -> DataFrame:
+                        kind: str = "geom_type", boundary_rings: str = "rings") -> DataFrame:
     """Features that meet the boundary polygon; touching counts.
 
-    A feature no larger than a tile is looked up once, by its lower left corner, so nothing is
-    duplicated. Larger ones are looked up in every tile they reach and made unique by key.
+    Each feature is looked up once: on the finest level whose tiles are no smaller than it, by its
+    lower left corner. Nothing is duplicated or shuffled, and only features near the outline are
+    tested edge by edge.
     """
     box = bounds_of(boundary, boundary_rings)
-    side = max(box.xmax - box.xmin, box.ymax - box.ymin, 1e-9) / TILES_PER_SIDE
-    tiles = F.broadcast(_boundary_tiles(boundary, boundary_rings, box, side))
-    names = features.columns
-    near = (features.withColumn("_fb", G.bounds(F.col(rings)))
-            .where(G.overlaps_box(F.col("_fb"), box.xmin, box.ymin, box.xmax, box.ymax)))
-    fits = ((F.col("_fb.xmax") - F.col("_fb.xmin") <= side)
-            & (F.col("_fb.ymax") - F.col("_fb.ymin") <= side))
-    tile = lambda v, origin: F.floor((v - origin) / side).cast("int")
-    meets = K.meets(F.col(rings), F.col(kind), F.col("_piece"))
-
-    small = (near.where(fits)
-             .withColumn("_ti", tile(F.col("_fb.xmin"), box.xmin))
-             .withColumn("_tj", tile(F.col("_fb.ymin"), box.ymin))
-             .join(tiles, ["_ti", "_tj"])
-             .withColumn("_hit", F.col("_cover") | meets).where("_hit").select(*names))
-
-    last = TILES_PER_SIDE + 1
-    reach = lambda lo, hi, origin: F.sequence(
-        F.greatest(tile(F.col(lo), origin), F.lit(-1)), F.least(tile(F.col(hi), origin), F.lit(last)))
-    large = (near.where(~fits)
-             .withColumn("_ti", F.explode(reach("_fb.xmin", "_fb.xmax", box.xmin)))
-             .withColumn("_tj", F.explode(reach("_fb.ymin", "_fb.ymax", box.ymin)))
-             .join(tiles, ["_ti", "_tj"]).withColumn("_hit", meets).where("_hit")
-             .dropDuplicates([key]).select(*names))
-    return small.unionByName(large)
+    extent = max(box.xmax - box.xmin, box.ymax - box.ymin, 1e-9)
+    tiles = F.broadcast(_boundary_tiles(boundary, boundary_rings, box, extent))
+    f, p = F.col("_fb"), F.col("_pb")
+    size = F.greatest(f.xmax - f.xmin, f.ymax - f.ymin)
+    level, side = F.lit(len(LEVELS)), F.lit(None).cast("double")
+    for k, n in reversed(list(enumerate(LEVELS))):
+        level = F.when(size <= extent / n, F.lit(k)).otherwise(level)
+        side = F.when(size <= extent / n, F.lit(extent / n)).otherwise(side)
+    tile = lambda v, origin: F.coalesce(F.floor((v - origin) / side).cast("int"), F.lit(0))
+    located = (features.withColumn("_fb", once(G.bounds(F.col(rings))))
+               .where(G.overlaps_box(f, box.xmin, box.ymin, box.xmax, box.ymax))
+               .withColumn("_level", level).withColumn("_ti", tile(f.xmin, box.xmin))
+               .withColumn("_tj", tile(f.ymin, box.ymin)))
+    close = (f.xmin <= p.xmax) & (f.xmax >= p.xmin) & (f.ymin <= p.ymax) & (f.ymax >= p.ymin)
+    candidates = located.join(tiles, ["_level", "_ti", "_tj"]).where(F.col("_cover") | close)
+    open_case = lambda c: F.when(~F.col("_cover"), F.col(c))
+    hit = K.meets(open_case(rings), F.col(kind), open_case("_piece"))
+    return (candidates.withColumn("_hit", hit).where(F.col("_cover") | F.col("_hit"))
+            .select(*features.columns))

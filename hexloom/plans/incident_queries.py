@@ -20,7 +20,7 @@ def naive(df: DataFrame) -> DataFrame:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    e = TB.table(spark, folder, "events")
+    e = TB.wide_table(spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value")
     return e.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -79,9 +79,9 @@ def nested_roads(spark: SparkSession, folder: str) -> DataFrame:
     x0, y0 = plane_x(key, side), plane_y(key, side)
     text = lambda c: c.cast("string")
     one = lambda **f: F.struct(*[v.alias(k) for k, v in f.items()])
-    null = F.lit(None).cast("string")
+    null = F.lit(None)
     unit = F.when(ln % 2 == 0, F.lit("mph")).otherwise(F.lit("km/h"))
-    speed = lambda v: one(value=text(v), unit=unit)
+    speed = lambda v: one(value=v.cast("int"), unit=unit)
     during = one(during=F.when(skey % 11 == 0, F.lit("Mo-Fr")))
     surface = (F.when(pkey % 7 == 0, "asphalt").when(pkey % 7 == 1, "gravel")
                .when(pkey % 7 == 2, "paved").when(pkey % 7 == 3, "marble").when(pkey % 7 == 4, "dirt"))
@@ -99,10 +99,10 @@ def nested_roads(spark: SparkSession, folder: str) -> DataFrame:
                 one(max_speed=speed(F.when(ln % 3 != 0, F.col("l_quantity") + 40)),
                     min_speed=speed(F.when(ln % 5 == 0, F.col("l_quantity"))), when=during))
         .cast(A.SPEED_LIMITS).alias("speed_limits"),
-        F.array(one(value=null), one(value=surface)).alias("road_surface"),
-        F.array(one(value=F.lit("wide")),
-                one(value=text(F.when(pkey % 4 == 0, F.col("l_quantity") / 10 + 3)))).alias("width_rules"),
-        F.array(one(value=F.lit("x")), one(value=text(skey % 5 - 2))).alias("level_rules"),
+        F.array(one(value=null), one(value=surface)).cast(A.SURFACES).alias("road_surface"),
+        F.array(one(value=null), one(value=F.when(pkey % 4 == 0, F.col("l_quantity") / 10 + 3)))
+        .cast(A.WIDTHS).alias("width_rules"),
+        F.array(one(value=null), one(value=skey % 5 - 2)).cast(A.LEVELS).alias("level_rules"),
         F.array(one(values=F.array(F.when(F.col("l_linestatus") == "F", F.lit("is_link")))),
                 one(values=F.array(F.when(skey % 10 == 0, F.lit("Under_Construction")))))
         .alias("road_flags"),

@@ -41,15 +41,16 @@ def stream_snapshots(spark: SparkSession, path: str, files_per_batch: int | None
 GEOMETRY = ("struct<type:string,coordinates:string,"
             "geometries:array<struct<type:string,coordinates:string>>>")
 _DIRECT = ("Point", "LineString", "MultiPoint", "Polygon", "MultiLineString", "MultiPolygon")
-_NUMBER = r"(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)"
-_FIRST_PAIR = r"^[\[\s]*" + _NUMBER + r"\s*,\s*" + _NUMBER
+_NUMBER = r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"
+_FIRST_PAIR = r"^[\[\s]*(" + _NUMBER + r"\s*,\s*" + _NUMBER + r")"
 
 
 def _first_pair(kind: Column, coordinates: Column) -> Column:
     """The first two numbers of a coordinates text are its first vertex at any depth."""
-    number = lambda i: F.regexp_extract(coordinates, _FIRST_PAIR, i).try_cast("double")
-    return F.when(kind.isin(*_DIRECT) & number(1).isNotNull() & number(2).isNotNull(),
-                  F.struct(number(1).alias("lon"), number(2).alias("lat")))
+    pair = F.split(F.regexp_extract(coordinates, _FIRST_PAIR, 1), ",").try_cast("array<double>")
+    lon, lat = F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
+    return F.when(kind.isin(*_DIRECT) & lon.isNotNull() & lat.isNotNull(),
+                  F.struct(lon.alias("lon"), lat.alias("lat")))
 
 
 def first_coordinate(geometry: Column) -> Column:
