@@ -47,7 +47,8 @@ def assign_points(df: DataFrame, res: int, x: Column, y: Column, cell: str = "ce
 def clip_lines(lines: DataFrame, res: int, parts: str = "rings", measure: str = "length_m") -> DataFrame:
     """One row per (line, cell) with the length inside the cell. The geometry is dropped."""
     others = [c for c in lines.columns if c != parts]
-    return (lines.select(*others, K.line_pieces(F.col(parts), res).alias("_p"))
+    return (lines.select(*others, once(F.col(parts)).alias("_g"))
+            .select(*others, K.line_pieces(F.col("_g"), res).alias("_p"))
             .select(*others, F.explode("_p").alias("_p"))
             .select(*others, H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
                     F.col("_p.m").alias(measure)))

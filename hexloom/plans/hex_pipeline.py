@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hexloom.functions import geometry as G
 from hexloom.functions import hexgrid as H
 from hexloom.functions import kernels as K
+from hexloom.functions.plan import once
 from hexloom.operators import features as FE
 from hexloom.operators import spatial as SP
 from hexloom.plans.extract import ALL_LAYERS, Zone, extract_all, is_current, zone_of
@@ -25,7 +26,13 @@ SCHEMA_VERSION = "1"
 
 
 def in_metres(layer: DataFrame, zone: Zone) -> DataFrame:
-    return layer.withColumn("rings", K.to_utm_rings(F.col("rings"), zone.number, zone.south))
+    """Layer with its rings in UTM metres.
+
+    ``once`` keeps lambda expressions that produced the rings out of the UDF's arguments, where
+    Spark does not extract the UDF.
+    """
+    return (layer.withColumn("_g", once(F.col("rings")))
+            .withColumn("rings", K.to_utm_rings(F.col("_g"), zone.number, zone.south)).drop("_g"))
 
 
 def _first_points(layer: DataFrame, zone: Zone, res: int) -> DataFrame:
