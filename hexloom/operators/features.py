@@ -239,14 +239,15 @@ def bathymetry_features(pieces: DataFrame, res: int) -> DataFrame:
 
 
 def join_on_grid(grid: DataFrame, layers: Sequence[DataFrame]) -> DataFrame:
-    """Grid left join every layer, numeric gaps filled with zero.
+    """Grid left join every layer, numeric gaps filled with zero. Cells outside the grid drop out.
 
     Every layer is already hash-partitioned by ``cell_id`` from its own aggregation, so only the
-    grid moves. Cells outside the grid drop out.
+    grid moves. The merge hint also rules out a broadcast, which would rest on an estimate that
+    does not know how many cells a feature expands to.
     """
     wide = grid
     for layer in layers:
-        wide = wide.join(layer, "cell_id", "left")
+        wide = wide.join(layer.hint("merge"), "cell_id", "left")
     fixed = set(grid.columns)
     return wide.selectExpr(*[
         f"`{f.name}`" if f.name in fixed
