@@ -29,13 +29,20 @@ class Bounds:
     ymax: float
 
 
-def bounds_of(boundary: DataFrame, rings: str = "rings") -> Bounds:
-    """Overall bounds of a boundary relation; four numbers reach the driver."""
-    box = boundary.select(G.bounds(F.col(rings)).alias("b")).agg(
-        F.min("b.xmin"), F.min("b.ymin"), F.max("b.xmax"), F.max("b.ymax")).first()
-    if box is None or box[0] is None:
+def measure_boundary(boundary: DataFrame, rings: str = "rings") -> tuple[Bounds, int]:
+    """Bounds and number of vertices of a one-row boundary; only these reach the driver."""
+    shape = boundary.select(G.bounds(F.col(rings)).alias("b"), F.size(F.flatten(rings)).alias("n"))
+    row = shape.agg(F.min("b.xmin"), F.min("b.ymin"), F.max("b.xmax"), F.max("b.ymax"),
+                    F.sum("n"), F.count(F.lit(1))).first()
+    if row[0] is None:
         raise ValueError("boundary has no coordinates")
-    return Bounds(*box)
+    if row[5] != 1:
+        raise ValueError("a boundary is one row; put several parts into its rings")
+    return Bounds(*row[:4]), row[4]
+
+
+def bounds_of(boundary: DataFrame, rings: str = "rings") -> Bounds:
+    return measure_boundary(boundary, rings)[0]
 
 
 def assign_points(df: DataFrame, res: int, x: Column, y: Column, cell: str = "cell_id") -> DataFrame:
@@ -138,18 +145,22 @@ def clip_polygons(polygons: DataFrame, res: int, rings: str = "rings", measure:
 
 
 def hex_grid(boundary: DataFrame, res: int, rings: str = "rings", spread: bool = True) -> DataFrame:
-    """Cells whose centre lies inside the boundary: cell_id, q, r, cell_area_m2."""
-    blocks = split_to_blocks(boundary.select(rings), res, rings, None, spread)
+    """Cells whose centre lies inside each boundary: its other columns, cell_id, q, r, cell_area_m2."""
+    others = [c for c in boundary.columns if c != rings]
+    blocks = split_to_blocks(boundary, res, rings, None, spread)
     cells = K.covered_cells(F.col(rings), F.col("_i"), F.col("_j"), res)
-    p = blocks.select(cells.alias("_p")).select(F.explode("_p").alias("_p"))
-    return p.select(H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
+    p = blocks.select(*others, cells.alias("_p")).select(*others, F.explode("_p").alias("_p"))
+    return p.select(*others, H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
                     F.col("_p.q").alias("q"), F.col("_p.r").alias("r"),
                     F.lit(H.true_cell_area(res)).alias("cell_area_m2"))
 
 
 # -- boundary filter -----------------------------------------------------------------------------
 
-LEVELS = (64, 16, 4, 1)  # tiles per side; a boundary becomes at most about 5000 pieces, small enough to send everywhere
+LEVELS = (64, 16, 4, 1)  # tiles per side; a boundary becomes at most about 5000 pieces
+# Pieces overlap fourfold on each level, so they hold some 17 vertices per vertex of the boundary
+# (16 bytes each): up to this many, the pieces stay below about 60 MB and are sent everywhere.
+BROADCAST_VERTICES = 200_000
 
 
 def _boundary_tiles(boundary: DataFrame, rings: str, box: Bounds, extent: float) -> DataFrame:
@@ -182,12 +193,14 @@ def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "
     """Features that meet the boundary polygon; touching counts.
 
     Each feature is looked up once: on the finest level whose tiles are no smaller than it, by its
-    lower left corner. Nothing is duplicated or shuffled, and only features near the outline are
-    tested edge by edge.
+    lower left corner. Nothing is duplicated, and only features near the outline are tested edge by
+    edge. The pieces of a boundary of checked size are broadcast, so nothing is shuffled; those of a
+    larger one are joined by tile.
     """
-    box = bounds_of(boundary, boundary_rings)
+    box, vertices = measure_boundary(boundary, boundary_rings)
     extent = max(box.xmax - box.xmin, box.ymax - box.ymin, 1e-9)
-    tiles = F.broadcast(_boundary_tiles(boundary, boundary_rings, box, extent))
+    tiles = _boundary_tiles(boundary, boundary_rings, box, extent)
+    tiles = tiles.hint("broadcast" if vertices <= BROADCAST_VERTICES else "merge")
     f, p = F.col("_fb"), F.col("_pb")
     size = F.greatest(f.xmax - f.xmin, f.ymax - f.ymin)
     level, side = F.lit(len(LEVELS)), F.lit(None).cast("double")

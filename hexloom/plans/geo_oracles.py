@@ -149,6 +149,15 @@ def overlap(source: str) -> str:
           where {bottom} < {top} and least(x1, cx+{HALF_W}) > greatest(x0, cx-{HALF_W}))) where area > 1e-6"""
 
 
+# Cells with their centre in each square; a centre on the lower or left side counts as inside.
+COVERED = f"""select *, '9:' || cast(q as varchar) || ':' || cast(r as varchar) as cell_id
+  from (select *, (q + r/2e0)*{W} cx, r*(1.5e0*{E}) cy
+    from (select *, unnest(range(cast(floor(x0/{W}-r/2e0-1) as bigint), cast(ceil(x1/{W}-r/2e0+1) as bigint)+1)) q
+      from (select *, unnest(range(cast(floor(y0/(1.5e0*{E})-1) as bigint), cast(ceil(y1/(1.5e0*{E})+1) as bigint)+1)) r
+        from ({squares(10)}))))
+  where cx>=x0 and cx<x1 and cy>=y0 and cy<y1"""
+
+
 def case_of(words: dict[str, str], other: str = "null") -> str:
     return "case p_type " + " ".join(f"when '{k}' then '{v}'" for k, v in words.items()) + f" else {other} end"
 
@@ -206,7 +215,7 @@ WIDE = f"""
   inf as (select cell_id, count(*) n from ({cells(INFRA)}) group by 1),
   co as (select cell_id, count(*) n from ({cells(CONNECTORS)}) group by 1),
   dv as (select cell_id, count(*) n from ({cells(f"select {px('s_suppkey', 700)} x, {py('s_suppkey', 700)} y from supplier")}) group by 1),
-  ba as (select cell_id, sum(area) v from ({overlap(squares(10, "p_type='LARGE'"))}) group by 1)"""
+  ba as (select cell_id, sum(area) v from ({overlap(squares(10))}) group by 1)"""
 WIDE_FROM = """ from g left join rd using(cell_id) left join po using(cell_id) left join bu using(cell_id)
   left join lu using(cell_id) left join ad using(cell_id) left join inf using(cell_id)
   left join co using(cell_id) left join dv using(cell_id) left join ba using(cell_id)"""
@@ -325,11 +334,11 @@ def sql() -> dict[str, str]:
       from (select *, {case_of(LC, "'other'")} cls from ({overlap(squares(10))})) group by 1"""
     out["bathymetry_hex"] = f"""select cell_id, round(sum(area),4) bathymetry_area_m2,
       round(least(greatest(sum(area)/({CELL_AREA}),0e0),1e0),4) bathymetry_fraction
-      from ({overlap(squares(10, "p_type='LARGE'"))}) group by 1"""
+      from ({overlap(squares(10))}) group by 1"""
     out["division_counts"] = DIVISION_SQL
-    out["hex_grid"] = f"select cell_id, q, r, round({CELL_AREA},4) cell_area_m2 from ({GRID})"
-    out["cell_outline"] = f"""select cell_id, 9 resolution, round(cx-{HALF_W},4) xmin, round(cy-{E},4) ymin,
-      round(cx+{HALF_W},4) xmax, round(cy+{E},4) ymax, round({CELL_AREA},4) area_m2 from ({GRID})"""
+    out["hex_grid"] = f"select fid feature_id, cell_id, q, r, round({CELL_AREA},4) cell_area_m2 from ({COVERED})"
+    out["cell_outline"] = f"""select fid feature_id, cell_id, 9 resolution, round(cx-{HALF_W},4) xmin, round(cy-{E},4) ymin,
+      round(cx+{HALF_W},4) xmax, round(cy+{E},4) ymax, round({CELL_AREA},4) area_m2 from ({COVERED})"""
     out["bbox_filter"] = f"""select fid feature_id, x0 xmin, y1 ymax from ({squares(1)})
       where x0<=1500 and x1>=500 and y0<=1200 and y1>=500"""
     out["polygon_filter"] = f"select fid feature_id from ({squares(10)}) where {_L_HIT}"
@@ -370,7 +379,7 @@ def sql() -> dict[str, str]:
       select 'roads' layer, count(*) row_count from lineitem union all select 'pois', count(*) from customer
       union all select 'buildings', count(*) from part union all select 'addresses', count(*) from supplier
       union all select 'connectors', count(*) from orders
-      union all select 'bathymetry', count(*) from part where p_type='LARGE'"""
+      union all select 'bathymetry', count(*) from part"""
     out["satellite_hex_mean"] = f"""select cell_id, pixel_count,
       {', '.join(f'round(A{i:02d},6) A{i:02d}' for i in range(64))} from ({PIXEL_MEANS})"""
     out["satellite_stream_mean"] = out["satellite_hex_mean"]

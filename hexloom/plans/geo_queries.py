@@ -195,19 +195,23 @@ def division_counts(spark, folder):
     return rounded(division_layer(spark, folder), 4)
 
 
+def _outlines(spark, folder):
+    return TB.polygons(spark, folder, 10).select("feature_id", "rings")
+
+
 def hex_grid(spark, folder):
-    """Cells whose centre lies in the boundary."""
-    return rounded(SP.hex_grid(TB.boundary(spark, folder), RES), 4)
+    """Cells whose centre lies in each square."""
+    return rounded(SP.hex_grid(_outlines(spark, folder), RES), 4)
 
 
 def cell_outline(spark, folder):
-    """Corner coordinates, resolution and area of every covered cell."""
-    cells = SP.hex_grid(TB.boundary(spark, folder), RES)
+    """Corner coordinates, resolution and area of the cells covered by each square."""
+    cells = SP.hex_grid(_outlines(spark, folder), RES)
     q, r = H.coordinates_of(F.col("cell_id"))
     ring = H.outline(q, r, RES)
     box = G.bounds(ring)
     return rounded(cells.select(
-        "cell_id", H.resolution_of(F.col("cell_id")).alias("resolution"),
+        "feature_id", "cell_id", H.resolution_of(F.col("cell_id")).alias("resolution"),
         box.xmin.alias("xmin"), box.ymin.alias("ymin"), box.xmax.alias("xmax"),
         box.ymax.alias("ymax"), G.area(ring).alias("area_m2")), 4)
 
