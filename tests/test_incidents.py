@@ -112,6 +112,18 @@ def test_same_poll_twice_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1
 
 
+def test_latest_version_is_cut_before_the_exchange(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("incident_id"),
+        F.lit("s").alias("source"), F.timestamp_seconds("id").alias("last_updated"),
+        F.timestamp_seconds("id").alias("collected_at"), F.col("id").cast("string").alias("raw_payload"))
+    latest = I.latest_incidents(df)
+    plan = latest._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert latest.where("incident_id = 'hot'").first().raw_payload == "999"
+    assert latest.count() == 1 + 666
+
+
 OBSERVED = "incident_id string, last_updated timestamp, collected_at timestamp, ended boolean"
 
 

@@ -106,7 +106,10 @@ def test_outline_has_the_cell_area(spark):
     assert row[0] == pytest.approx(H.true_cell_area(RES))
 
 
-def test_boundary_filter_against_brute_force(spark):
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_boundary_filter_against_brute_force(spark, monkeypatch, limit):
+    """With the pieces broadcast, and with the join by tile that larger outlines take."""
+    monkeypatch.setattr(SP, "BROADCAST_VERTICES", limit)
     rng = random.Random(3)
     items = []
     for _ in range(150):
@@ -116,7 +119,9 @@ def test_boundary_filter_against_brute_force(spark):
         items.append(("Polygon", [[(x, y), (x + s, y), (x + s, y + s), (x, y + s)]]))
     df = shapes(spark, *items)
     boundary = shapes(spark, ("Polygon", [L_SHAPE])).select("rings")
-    got = {int(r.feature_id) for r in SP.filter_intersecting(df, boundary).collect()}
+    met = SP.filter_intersecting(df, boundary)
+    assert ("BroadcastHashJoin" in met._jdf.queryExecution().sparkPlan().toString()) == (limit > 0)
+    got = {int(r.feature_id) for r in met.collect()}
     boxes = ((0, 0, 1200, 400), (0, 0, 400, 800))
 
     def meets(kind, points):
@@ -141,6 +146,12 @@ def test_boundary_around_and_corner_touch(spark):
     assert sorted(r.feature_id for r in SP.filter_intersecting(df, boundary).collect()) == ["0", "1"]
 
 
+def test_boundary_must_be_one_row(spark):
+    two = shapes(spark, ("Polygon", [L_SHAPE]), ("Polygon", [L_SHAPE]))
+    with pytest.raises(ValueError):
+        SP.filter_intersecting(two, two)
+
+
 def test_utm(spark):
     u = P.to_utm(F.lit(151.2153), F.lit(-33.8568), 56, True)
     df = spark.range(1).select(u.alias("u")).select("u", P.from_utm(F.col("u.x"), F.col("u.y"), 56, True).alias("b"))
