@@ -15,6 +15,7 @@ from hexloom.functions import geometry as G
 from hexloom.functions import kernels as K
 from hexloom.functions import projection as P
 from hexloom.operators.spatial import bounds_of, filter_intersecting
+from hexloom.sinks.writers import write_layer
 from hexloom.sources import lake
 from hexloom.sources.geometry_decode import decode
 
@@ -194,7 +195,7 @@ def extract_all(spark: SparkSession, base: str, release: str, boundary: DataFram
             result = job(*sources, boundary, zone)
             outputs = result if isinstance(result, dict) else {files[0]: result}
             for name, df in outputs.items():
-                df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}.parquet")
+                write_layer(df, folder, name)
             if layer in S.LAYER_SCHEMAS:
                 saved = lake.read_layer(spark, folder, layer)
                 for row in S.violations(saved, S.LAYER_SCHEMAS[layer]).take(100):

@@ -164,14 +164,12 @@ def case_of(words: dict[str, str], other: str = "null") -> str:
 
 LU = {"ECONOMY": "forest", "STANDARD": "park", "PROMO": "residential", "MEDIUM": "industrial"}
 LC = {"ECONOMY": "forest", "STANDARD": "grass", "PROMO": "urban", "MEDIUM": "crop"}
-BC = {"ECONOMY": "house", "STANDARD": "garage", "PROMO": "school", "MEDIUM": "other"}
 CENTRED = cells(f"select *, (x0+x1)/2 x, (y0+y1)/2 y, (x1-x0)*(y1-y0) area from ({squares(1)})")
 
 LANDUSE_AGG = f"""
   select cell_id, sum(area) total, {', '.join(f"coalesce(sum(area) filter (where cls='{c}'), 0e0) a_{c}" for c in ['forest','park','residential','industrial','other'])}
   from (select *, {case_of(LU, "'other'")} cls from ({overlap(squares(10))})) group by 1"""
 
-NODE = "'NATION'"
 BRANDS = [f"Brand#{i}" for i in range(1, 21)]
 
 INFRA_SQL = f"""select cell_id, count(*) infra_count_total, count(distinct p_brand) infra_class_diversity,

@@ -13,9 +13,15 @@ def write_layer(df: DataFrame, folder: str, layer: str) -> None:
     df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{layer}.parquet")
 
 
+def one_line(document: Column) -> Column:
+    """JSON on one line: a line break inside it can only be layout, strings escape theirs."""
+    return F.regexp_replace(document, r"[\r\n]+", " ")
+
+
 def _by_poll(df: DataFrame, poll: str | None, *keys: str):
     """Writer by keys and poll. A repeated poll replaces its own partitions and nothing else."""
-    name = F.lit(poll) if poll else V.partition_keys(F.col("collected_at"))["stamp"]
+    stamp = V.partition_keys(F.col("collected_at"))["stamp"]
+    name = F.concat(stamp, F.lit(f"-{poll}")) if poll else stamp
     kept = df.withColumn("poll", name)
     if "raw_payload" not in kept.columns:
         kept = kept.drop("collected_at")  # a text file holds the value alone
@@ -35,7 +41,7 @@ def write_incidents(incidents: DataFrame, folder: str, poll: str | None = None)
 def write_raw_snapshots(documents: DataFrame, folder: str, poll: str | None = None) -> None:
     """Unfiltered payloads as gzipped text under source / dt / hour / poll."""
     keys = V.partition_keys(F.col("collected_at"))
-    keyed = documents.select("value", "source", "collected_at", keys["dt"].alias("dt"),
+    keyed = documents.select(one_line(F.col("value")).alias("value"), "source", "collected_at", keys["dt"].alias("dt"),
                              keys["hour"].alias("hour"))
     writer = _by_poll(keyed, poll, "source", "dt", "hour")
     writer.option("compression", "gzip").text(folder)
@@ -46,7 +52,7 @@ def write_backfill(documents: DataFrame, folder: str, source: str = "tfnsw-histo
 
     ``documents`` has value, window_start, window_end; the text row keeps one answer per line.
     """
-    keyed = documents.select("value", F.lit(source).alias("source"),
+    keyed = documents.select(one_line(F.col("value")).alias("value"), F.lit(source).alias("source"),
                              V.partition_keys(F.col("window_start"))["dt"].alias("dt"))
     (keyed.write.mode("append").partitionBy("source", "dt")
      .option("compression", "gzip").text(folder))

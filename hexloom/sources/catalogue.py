@@ -28,7 +28,7 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
     """Hand-kept entries by prefix from ``{"datasets": {prefix: entry}}``."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return entries_of(text)
 
 
@@ -42,7 +42,7 @@ def entries_of(text: DataFrame, column: str = "value") -> DataFrame:
 
 def read_datasets(spark: SparkSession, path: str) -> DataFrame:
     """Dataset records of ``{"datasets": [record, ...]}`` documents."""
-    return datasets_of(spark.read.option("wholetext", True).text(path))
+    return datasets_of(spark.read.text(path, wholetext=True))
 
 
 def datasets_of(text: DataFrame, column: str = "value") -> DataFrame:

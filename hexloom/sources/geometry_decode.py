@@ -19,7 +19,6 @@ WKB_KINDS = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "Mul
              6: "MultiPolygon"}
 
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-_RINGS = pa.list_(pa.list_(_XY))
 
 
 def orient(rings: Column) -> Column:

@@ -15,6 +15,11 @@ def pixel_scale_m(res: int) -> float:
     return max(10.0, H.edge(res) / 4.0)
 
 
+def pixel_step_degrees(res: int) -> float:
+    """The same size in degrees, for boxes in longitude and latitude."""
+    return pixel_scale_m(res) / METRES_PER_DEGREE
+
+
 def grid_shape(xmin: Column, ymin: Column, xmax: Column, ymax: Column, step: float) -> Column:
     """Width and height in pixels, at least one each."""
     side = lambda lo, hi: F.greatest(F.ceil((hi - lo) / step).cast("int"), F.lit(1))

@@ -23,7 +23,7 @@ def _stamped(raw: DataFrame) -> DataFrame:
 
 def read_snapshots(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
     """Archive replay: every snapshot under a folder with its poll time from the file name."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    raw = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
            .select("value", F.col("_metadata.file_path").alias("_file")))
     found = _stamped(raw)
     return found.where(F.col("source") == source) if source else found

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from hexloom import schema as S
@@ -85,6 +84,14 @@ def test_listing_and_document_round_trip(spark, tmp_path):
     assert (back.id, back.size_bytes, back.pair_id, back.temporal_range.start) == ("z", 3, "p", dt.date(2020, 1, 1))
 
 
+def test_entries_and_records_from_files(spark, tmp_path):
+    (tmp_path / "entries.json").write_text(json.dumps({"datasets": {"raw/a/": {"name": "A", "pairId": "p"}}}, indent=2))
+    (tmp_path / "records.json").write_text(json.dumps({"datasets": [{"id": "z"}, {"id": "y"}]}, indent=2))
+    (row,) = SC.read_entries(spark, str(tmp_path / "entries.json")).collect()
+    assert (row.prefix, row.name, row.pair_id) == ("raw/a/", "A", "p")
+    assert SC.read_datasets(spark, str(tmp_path / "records.json")).count() == 2
+
+
 def test_siblings_and_search(spark):
     df = rows(spark, dict(id="a", name="A", pair_id="p", category="eta", region="x", size_bytes=1),
               dict(id="b", name="B", pair_id="p", category="eta", region="x", size_bytes=1, tags=["Fast"]),

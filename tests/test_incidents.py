@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from hexloom.operators import incidents as I
@@ -24,7 +23,7 @@ def land(folder, source, stamp, features):
     day = f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}"
     target = folder / f"source={source}" / f"dt={day}" / f"hour={stamp[9:11]}"
     target.mkdir(parents=True, exist_ok=True)
-    (target / f"{stamp}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    (target / f"{stamp}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
 
 
 def test_first_coordinate(spark):
@@ -80,6 +79,15 @@ def test_backfill_windows(spark):
     assert got == [("2026-01-01", "2026-04-01"), ("2026-04-01", "2026-06-30"), ("2026-06-30", "2026-07-01")]
 
 
+def test_backfill_sink(spark, tmp_path):
+    start = dt.datetime(2026, 1, 1)
+    docs = spark.createDataFrame([('{"features":[]}', start, start + dt.timedelta(days=90))],
+                                 "value string, window_start timestamp, window_end timestamp")
+    W.write_backfill(docs, str(tmp_path / "out"))
+    row = spark.read.text(str(tmp_path / "out")).first()
+    assert (row.value, row.source, str(row.dt)) == ('{"features":[]}', "tfnsw-historical", "2026-01-01")
+
+
 def test_collect_all_lands_both_zones_and_resumes(spark, tmp_path):
     inbox, raw, done, state = (str(tmp_path / n) for n in ("inbox", "raw", "processed", "state"))
     box = tmp_path / "inbox"

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hexloom import schema as S
 from hexloom.functions import geometry as G
-from hexloom.plans import extract as X
 from hexloom.plans import releases as HP
 from hexloom.sources import lake
 from tests.test_spatial import ring, wkb

@@ -253,4 +253,5 @@ def test_pixel_rules(spark):
     tile = spark.createDataFrame([(7, [1.0, 2.0], [3.0, 4.0])], "tile int, a array<float>, b array<float>")
     out = PX.unpack_tile(tile, ["a", "b"], ["tile"]).orderBy("pixel_index").collect()
     assert [(r.pixel_index, list(r.band)) for r in out] == [(0, [1.0, 3.0]), (1, [2.0, 4.0])]
+    assert PX.pixel_step_degrees(9) == pytest.approx(43.5 / 111320)
     assert PX.pixel_scale_m(9) == 43.5 and PX.pixel_scale_m(11) == 10.0
