@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,30 @@ def build_session(app: str = "hexloom", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """The same settings on a session that somebody else has built."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per application, as a zip."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="hexloom-ship-")) / "hexloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for file in sorted(root.rglob("*.py")):
+            bundle.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def fill_cluster(df):
     """Spread a scan that has fewer splits than the cluster has cores.
 
@@ -41,7 +67,7 @@ def fill_cluster(df):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's checkpoint folder. Only a local master may do without, in a temporary folder."""
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
@@ -50,6 +76,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if not current:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="hexloom-"))
         current = context.getCheckpointDir()
     return current
