@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hexloom.llm import fingerprint, mixing, tokencount, topk
+from hexloom.llm import dedup, fingerprint, mixing, tokencount, topk
 
 QUERIES = {
     "op2_fingerprint": fingerprint.op2_fingerprint,
+    "op3_near_dedup": dedup.op3_near_dedup,
     "op6_token_counts": tokencount.op6_token_counts,
     "op7_mixing": mixing.op7_mixing,
     "op10_topk": topk.op10_topk,
@@ -14,4 +15,4 @@ QUERIES = {
 
 def sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
-    return {"op7_mixing": mixing.SQL, "op10_topk": topk.SQL}
+    return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op10_topk": topk.SQL}
