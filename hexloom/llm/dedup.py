@@ -126,7 +126,7 @@ def set_hash(shingles: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, coordinates); node is the set's hash, null for empty sets."""
+    """(doc_id, text_hash, n_shingles, node, bands, coordinates); node is the set's hash, null for empty sets."""
     def make():
         powers = Powers()
 
@@ -145,12 +145,13 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     bands.append(None)
                     coordinates.append(None)
             return pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()),
+                [rows.column(0), rows.column(2), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(coordinates, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "bands", "coordinates"])
+                names=["doc_id", "text_hash", "n_shingles", "node", "bands", "coordinates"])
         return batch
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make,
-                       "doc_id long, n_shingles long, node long, bands array<long>, coordinates binary")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                                   F.xxhash64("text").alias("text_hash")), make,
+                       "doc_id long, text_hash long, n_shingles long, node long, bands array<long>, coordinates binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -282,10 +283,16 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     its distinct shingles of ``words`` words, or the whole sequence if it has fewer. Documents link
     when 100 * intersection >= percent * union. component_id is the smallest doc_id reachable; kept
     tells doc_id = component_id. Documents that are null, empty or without words have n_shingles 0
-    and link with nothing. Rows without doc_id are answered, never become a group's id, and are kept
-    if their whole group has no id. Rows that repeat an id are nodes of their own. Extra columns are
+    and link with nothing. Rows without doc_id are answered, give no group its id unless no row has one,
+    and are kept in that case. Rows that repeat an id are nodes of their own. Extra columns are
     ignored; an empty table gives no rows.
     """
+    return _groups(docs, words, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, label, component_id); the label of a group is one of its nodes."""
     every = stored(features(docs, words), "features")
     nodes = (every.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("first_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(0))).alias("bands")))
@@ -310,11 +317,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         labels = components(links.unionByName(last))
     grouped = nodes.select("node", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_node = grouped.select("node", "label").join(smallest, "label").select("node", "component_id")
-    out = (every.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    by_node = grouped.select("node", "label").join(smallest, "label").select("node", "label", "component_id")
+    return (every.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _full_sets(docs: DataFrame, details: DataFrame, words: int) -> DataFrame:
@@ -339,15 +344,21 @@ def _full_sets(docs: DataFrame, details: DataFrame, words: int) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies: one row of each group stays, with all its columns.
+    """The documents without near copies: exactly one row of each group stays, with all its columns.
 
-    The row with the group's smallest doc_id stays; of rows that repeat that id, one. Rows without an
-    id or without words stay unless they repeat another row's id.
+    The row with the group's smallest doc_id stays (a row without an id only if no other has one); of
+    rows that repeat that id, one. Rows without words belong to no group and all stay.
     """
-    groups = near_groups(docs, words, percent).filter("kept").select(
-        F.col("doc_id").alias("_doc_id"), (F.col("n_shingles") > 0).alias("_words")).distinct()
-    kept = docs.join(groups.select("_doc_id").distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")))
-    return kept.drop("_doc_id")
+    groups = _groups(docs, words, percent).filter("n_shingles > 0")
+    chosen = groups.groupBy("label").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_doc_id"),
+        F.col("text_hash").alias("_text_hash"))).alias("row")).select("row._doc_id", "row._text_hash")
+    blank = F.coalesce(F.col("text").rlike(r"^[\x20\x09-\x0D]*$"), F.lit(True))
+    hashed = docs.filter(~blank).withColumn("_hash", F.xxhash64("text"))
+    kept = (hashed.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+                        & (F.col("_hash") == F.col("_text_hash")))
+            .dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns))
+    return docs.filter(blank).unionByName(kept)
 
 
 def op3_near_dedup(spark, folder: str) -> DataFrame:

@@ -66,7 +66,8 @@ def test_groups_equal_brute_force(spark, words):
 
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "a b c d e f g", "x"), (2, "A b c d e f g", "y"), (9, None, "z"), (None, "other text here", "z"),
-            (7, "", None), (5, "a b c d e f g", "x")]
+            (7, "", None), (5, "a b c d e f g", "x"), (2, "A b c d e f g", "y"), (None, "a b c d e f g", "y"),
+            (None, "other text here", "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
     kept = one_per_group(df)
     assert kept.columns == df.columns
