@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from hexloom.llm import dedup, fingerprint, mixing, tokencount, topk
+from hexloom.llm import dedup, fingerprint, licenses, mixing, tokencount, topk
 
 QUERIES = {
     "op2_fingerprint": fingerprint.op2_fingerprint,
     "op3_near_dedup": dedup.op3_near_dedup,
     "op6_token_counts": tokencount.op6_token_counts,
     "op7_mixing": mixing.op7_mixing,
+    "op8_licenses": licenses.op8_licenses,
     "op10_topk": topk.op10_topk,
 }
 
 
 def sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
-    return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op10_topk": topk.SQL}
+    return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op8_licenses": licenses.SQL, "op10_topk": topk.SQL}
