@@ -9,12 +9,16 @@ sets of 64-bit shingle hashes meet the threshold.
 
 Scale: equal sets are one node, so exact copies cost nothing. No pairs of a bucket are written out:
 
-1. Every node is compared with one centre, the best connected member of the buckets it shares with
-   most bands. A group of near copies falls together in this step, however large.
-2. Only buckets whose members still carry different labels are looked at again, in blocks of bounded
-   size that a task holds two of. Pairs with equal labels, sizes too far apart or signatures that
-   rule the threshold out (six standard errors) are passed over. First the best pair of any two
-   labels in a bucket is confirmed, then, after relabelling, each pair that is left: nothing is capped.
+1. Every node is compared with two centres, the best connected member of all its buckets, which
+   names its family, and the member with which it shares most bands. Near copies of one text fall
+   together in this step, however many they are.
+2. A family that did not fall together wholly is compared in blocks bounded by the bytes of their
+   sets. A task holds two blocks, looks at pairs of different labels only, and returns no more links
+   than it has members.
+3. Pairs across families are left where a bucket's members still carry different labels. Sizes too far
+   apart or signatures that rule the threshold out (six standard errors) pass them over. First the best
+   pair of any two labels in a bucket is confirmed, then, after relabelling, each pair left: nothing is
+   capped.
 
 Texts cross one exchange, and only sets of nodes that share a bucket are kept.
 """
@@ -35,8 +39,9 @@ from hexloom.llm.common import map_batches, prepare, stored, table
 ROWS, BANDS = 4, 36
 COORDINATES = ROWS * BANDS
 UNIVERSE = 1 << 20
-#: Members of a block in the comparison of mixed buckets.
+#: Members of a block in the comparison of mixed buckets, and bytes of sets of one in a family.
 BLOCK = 1024
+BLOCK_BYTES = 8 << 20
 WORDS = 4
 PERCENT = 80
 U = np.uint64
@@ -195,16 +200,85 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(joined, make, "a long, b long")
 
 
-def star_pairs(buckets: DataFrame) -> DataFrame:
-    """(a, b): every node with the best connected centre among those of its buckets."""
+def centres(buckets: DataFrame) -> DataFrame:
+    """(node, family, nearest): the best connected member of all its buckets, and the centre with
+    which it shares most bands, null if it is the centre of each of its buckets."""
     size = buckets.groupBy("band").agg(F.count("*").alias("size"))
-    degree = (buckets.join(size, "band").groupBy("node").agg(F.sum("size").alias("degree")))
+    degree = buckets.join(size, "band").groupBy("node").agg(F.sum("size").alias("degree"))
     known = buckets.join(degree, "node")
     centre = known.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("centre"))
-    near = (known.join(centre, "band").filter("node <> centre.node")
-            .groupBy("node", "centre").agg(F.count("*").alias("shared")))
-    best = near.groupBy("node").agg(F.max(F.struct("shared", "centre")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.centre.node").alias("b"))
+    near = (known.join(centre, "band").groupBy("node", "centre").agg(F.count("*").alias("shared")))
+    other = F.when(F.col("node") != F.col("centre.node"), F.struct("shared", "centre"))
+    best = near.groupBy("node").agg(F.max("centre").alias("top"), F.max(other).alias("best"))
+    return best.select("node", F.col("top.node").alias("family"), F.col("best.centre.node").alias("nearest"))
+
+
+def star_pairs(centred: DataFrame) -> DataFrame:
+    """(a, b): every node with its family's centre and with its nearest centre."""
+    return (centred.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("family", "nearest"))).alias("b"))
+            .filter("b is not null and a <> b"))
+
+
+def _within(percent: int):
+    """Links between different labels of one block pair of a family; groups arrive one after the other."""
+    def group(rows: list[tuple]) -> list[tuple[int, int]]:
+        own = rows[0][4] == rows[0][5]
+        first = np.array([r[3] == rows[0][4] for r in rows])
+        parts = [np.frombuffer(r[2], dtype=np.uint64) for r in rows]
+        sizes = np.array([len(p) for p in parts])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        names, ids = np.unique(np.concatenate(parts), return_inverse=True)
+        labels, roots = np.unique([r[1] for r in rows], return_inverse=True)
+        main = np.bincount(roots).argmax()
+        root, held, found = roots.copy(), np.zeros(len(names), dtype=bool), []
+        for i in np.flatnonzero(roots != main):
+            facing = np.ones(len(rows), dtype=bool) if own else first != first[i]
+            if not (facing & (root != root[i])).any():
+                continue
+            mine = ids[starts[i]:starts[i] + sizes[i]]
+            held[mine] = True
+            common = np.add.reduceat(held[ids].astype(np.int64), starts)
+            held[mine] = False
+            linked = facing & (100 * common >= percent * (sizes + sizes[i] - common))
+            for j in np.flatnonzero(linked):
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    found.append((rows[i][0], rows[j][0]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, at = [], None
+
+        def packed():
+            found = group(rows)
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
+                                               pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+        for batch in batches:
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in range(7))):
+                mark = (key, row[4], row[5])
+                if mark != at and rows:
+                    yield packed()
+                    rows = []
+                at = mark
+                rows.append(row)
+        if rows:
+            yield packed()
+    return run
+
+
+def family_links(centred: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside families whose members carry different labels, enough to join what is linked."""
+    marked = (centred.join(labels, "node", "left")
+              .select("family", "node", F.coalesce("label", "node").alias("label")).join(sets, "node"))
+    total = (marked.groupBy("family").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                          F.sum(F.length("shingles")).alias("bytes")).filter("low <> high"))
+    rows = (marked.join(total.select("family", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("blocks")), "family")
+            .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("family", "node", "label", "shingles", "block",
+                    F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+            .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node"))
+    return rows.mapInArrow(_within(percent), "a long, b long")
 
 
 def _compare(percent: int, best_only: bool):
@@ -215,6 +289,7 @@ def _compare(percent: int, best_only: bool):
         nodes = np.array([r[0] for r in rows])
         labels = np.array([r[1] for r in rows])
         sizes = np.array([r[2] for r in rows])
+        families = np.array([r[7] for r in rows])
         marks = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8).reshape(len(rows), COORDINATES)
         own, left, right = rows[0][5] == rows[0][6], [], []
         block = np.array([r[4] for r in rows])
@@ -223,7 +298,7 @@ def _compare(percent: int, best_only: bool):
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for n, i in enumerate(first):
             others = second[n + 1:] if own else second
-            fits = others[(labels[others] != labels[i])
+            fits = others[(labels[others] != labels[i]) & (families[others] != families[i])
                           & (100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i]))]
             if not len(fits):
                 continue
@@ -246,7 +321,7 @@ def _compare(percent: int, best_only: bool):
             return pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()),
                                                pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
         for batch in batches:
-            for key, *row in zip(*(batch.column(c).to_pylist() for c in range(8))):
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in range(9))):
                 mark = (key, row[5], row[6])
                 if mark != at and rows:
                     yield packed()
@@ -260,18 +335,20 @@ def _compare(percent: int, best_only: bool):
 
 def mixed_pairs(buckets: DataFrame, labels: DataFrame, details: DataFrame, percent: int,
                 best_only: bool) -> DataFrame:
-    """Pairs of different labels that share a bucket and that the signatures do not rule out."""
+    """Pairs of different labels and families that share a bucket and that the signatures do not rule out."""
     marked = (buckets.join(labels, "node", "left")
               .select("band", "node", F.coalesce("label", "node").alias("label")))
-    mixed_bands = (marked.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                              F.count("*").alias("size")).filter("low <> high"))
+    mixed_bands = (marked.join(details.select("node", "family"), "node").groupBy("band")
+                   .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"),
+                        F.min("family").alias("one"), F.max("family").alias("another"))
+                   .filter("low <> high and one <> another"))
     blocks = F.ceil(F.col("size") / BLOCK)
     rows = (marked.join(mixed_bands.select("band", blocks.alias("blocks")), "band")
             .join(details, "node")
             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .select("band", "node", "label", "n_shingles", "coordinates", "block",
-                    F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+                    F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "family")
             .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node"))
     return rows.mapInArrow(_compare(percent, best_only), "a long, b long").distinct()
 
@@ -305,13 +382,15 @@ def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.max("coordinates").alias("coordinates")), "details")
     sets = stored(_full_sets(docs, details, words), "sets")
 
-    links = stored(confirmed(star_pairs(buckets), sets, percent), "links")
-    jump = links.select(F.col("a").alias("b"), F.col("b").alias("further"))
-    labels = (links.join(jump, "b", "left").select(F.col("a").alias("node"),
-                                                   F.coalesce("further", "b").alias("label")))
-    more = stored(confirmed(mixed_pairs(buckets, labels, details, percent, True), sets, percent), "links")
-    links = links.unionByName(more)
+    centred = stored(centres(buckets), "centres")
+    details = details.join(centred.select("node", "family"), "node")
+    links = stored(confirmed(star_pairs(centred), sets, percent), "links")
+    links = links.unionByName(stored(family_links(centred, components(links), sets, percent), "links"))
     labels = components(links)
+    more = stored(confirmed(mixed_pairs(buckets, labels, details, percent, True), sets, percent), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
     last = stored(confirmed(mixed_pairs(buckets, labels, details, percent, False), sets, percent), "links")
     if not last.isEmpty():
         labels = components(links.unionByName(last))
