@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from hexloom.llm import dedup, fingerprint, licenses, mixing, quality, tokencount, topk, toxicity
+from hexloom.llm import dedup, fingerprint, language, licenses, mixing, quality, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_fingerprint": fingerprint.op2_fingerprint,
     "op3_near_dedup": dedup.op3_near_dedup,
     "op4_quality": quality.op4_quality,
+    "op5_language": language.op5_language,
     "op6_token_counts": tokencount.op6_token_counts,
     "op7_mixing": mixing.op7_mixing,
     "op8_licenses": licenses.op8_licenses,
