@@ -17,7 +17,8 @@ BATCH_ROWS = 500
 
 
 def prepare(spark: SparkSession) -> None:
-    """Batch sizes for columns of whole texts."""
+    """Batch sizes for columns of whole texts; only small tables, by measured size, are broadcast."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1MB")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexloom.llm.common import stored, table
+from hexloom.llm.common import prepare, stored, table
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -171,6 +171,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
 
 def op7_mixing(spark, folder: str) -> DataFrame:
     """Mix all documents to weights 5, 2, 1 at 100 % of all words."""
+    prepare(spark)
     out = mix_sizes(measured(table(spark, folder, "documents")))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "weight")
 
