@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from hexloom.llm import dedup, fingerprint, language, licenses, mixing, quality, tokencount, topk, toxicity
+from hexloom.llm import (
+    dedup,
+    fingerprint,
+    language,
+    licenses,
+    mixing,
+    pieces,
+    quality,
+    tokencount,
+    topk,
+    toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +24,7 @@ QUERIES = {
     "op6_token_counts": tokencount.op6_token_counts,
     "op7_mixing": mixing.op7_mixing,
     "op8_licenses": licenses.op8_licenses,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_topk": topk.op10_topk,
 }
 
