@@ -43,11 +43,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, source, ids, n_ids, ids_sha256, round_trip): token ids, and whether decoding returns the text."""
     model = pieces.load()
-    coded = pieces.encode_texts(docs.select("doc_id", "source", "text"), model)
-    both = pieces.decode_ids(coded, model)
-    return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_ids"),
-                       pieces.ids_digest("ids").alias("ids_sha256"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    coded = pieces.encode_texts(docs.select("doc_id", "source", "text"), model, verified="round_trip")
+    return coded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_ids"),
+                        pieces.ids_digest("ids").alias("ids_sha256"), "round_trip")
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", keep_good), ("near_dedup", drop_near_copies),

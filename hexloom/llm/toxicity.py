@@ -31,7 +31,7 @@ CLASSIFIERS = 3
 #: Rows with this crc32 remainder are held out.
 FOLDS, HELD_OUT = 5, 0
 #: Distinct words a worker remembers to hold no feature.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 WORD = re.compile(r"\w+")
 
 
