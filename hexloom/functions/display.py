@@ -88,10 +88,10 @@ def slug(prefix: Column) -> Column:
 
 
 def title(text: Column) -> Column:
-    """Hyphens and underscores to blanks, first letter of each word in upper case."""
-    words = F.split(F.regexp_replace(text, "[_-]", " "), " ")
-    return F.array_join(F.transform(words, lambda w: F.concat(
-        F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), " ")
+    """Hyphens and underscores to blanks, upper case for each ASCII letter behind a non-word character."""
+    runs = F.regexp_extract_all(F.regexp_replace(text, "[_-]", " "), F.lit(r"\w+|\W+"), 0)
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^\w"), F.concat(
+        F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2)))).otherwise(r)), "")
 
 
 def title_of_prefix(prefix: Column) -> Column:

@@ -199,7 +199,9 @@ def polygon_batch(column: pa.Array, i: pa.Array, j: pa.Array, res: int) -> pa.Ar
             prev = _previous(loop)
             cross = x[prev] * y - x * y[prev]
             area[part] = np.bincount(pair[loop], weights=cross, minlength=part.stop - part.start) / 2
-    hit = area > 0
+    # coordinates are exact to their last bit only: a border that touches a cell leaves up to this
+    reach = np.maximum(np.abs((q + r / 2) * (SQRT3 * e)), np.abs(r * 1.5 * e)) + e
+    hit = area > 4 * np.finfo(float).eps * e * reach
     return _list_of_pieces(g.rows, row[hit], q[hit], r[hit], area[hit])
 
 

@@ -15,9 +15,14 @@ def epoch_ms(value: Column) -> Column:
 def iso_time(value: Column, zone: str = "UTC") -> Column:
     """ISO text to a UTC timestamp; a text without an offset is read in ``zone``.
 
+    Date and time are parted by T or a blank, and both may be written without separators.
     The session time zone must be UTC.
     """
-    has_offset = value.rlike(r"T.*(Z|[+-]\d{2}(:?\d{2})?)$")
+    value = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
+    value = F.regexp_replace(value, r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?!\d)", "$1:$2:$3")
+    value = F.regexp_replace(value, r"^(.{10}[T ]\d{2})(\d{2})(?!\d)", "$1:$2")
+    value = F.regexp_replace(value, r"^(.{10}[T ]\d{2}:\d{2})(?![\d:])", "$1:00")
+    has_offset = value.rlike(r"[T ]\d.*(Z|[+-]\d{2}(:?\d{2})?)$")
     spaced = F.regexp_replace(value, r"([+-]\d{2})(\d{2})$", "$1:$2")
     is_iso = value.rlike(r"^\d{4}(-\d{2}(-\d{2}([T ].*)?)?)?$")
     parsed = F.when(has_offset, spaced).otherwise(value).try_cast("timestamp")
@@ -30,8 +35,8 @@ def safe_int(value: Column) -> Column:
 
 
 def safe_text(value: Column) -> Column:
-    """Trimmed text; empty and any spelling of ``null`` become null."""
-    trimmed = F.trim(value.cast("string"))
+    """Text without white space at its ends; empty and any spelling of ``null`` become null."""
+    trimmed = F.regexp_replace(value.cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
     return F.when((trimmed != "") & (F.lower(trimmed) != "null"), trimmed)
 
 

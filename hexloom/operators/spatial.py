@@ -18,7 +18,6 @@ from hexloom.functions.kernels import BLOCK
 from hexloom.functions.plan import once
 
 SPREAD_BLOCKS = 64    # polygons over more blocks than this are redistributed
-MIN_AREA_M2 = 1e-6    # smaller pieces are rounding residue of touching borders
 
 
 @dataclass(frozen=True)
@@ -139,7 +138,6 @@ def clip_polygons(polygons: DataFrame, res: int, rings: str = "rings", measure:
     pieces = K.polygon_pieces(F.col(rings), F.col("_i"), F.col("_j"), res)
     return (blocks.select(*others, pieces.alias("_p"))
             .select(*others, F.explode("_p").alias("_p"))
-            .where(F.col("_p.m") > MIN_AREA_M2)
             .select(*others, H.cell_name(F.col("_p.q"), F.col("_p.r"), res).alias("cell_id"),
                     F.col("_p.m").alias(measure)))
 

@@ -48,8 +48,9 @@ STATS = f"""(select s.prefix, s.size_bytes, s.file_count, s.last_modified, {FORM
 
 
 def title(v: str) -> str:
-    return (f"array_to_string(list_transform(string_split(regexp_replace({v}, '[_-]', ' ', 'g'), ' '), "
-            f"lambda w: upper(substr(w,1,1)) || substr(w,2)), ' ')")
+    runs = rf"regexp_extract_all(regexp_replace({v}, '[_-]', ' ', 'g'), '\w+|\W+')"
+    return (f"array_to_string(list_transform({runs}, "
+            rf"lambda w: case when regexp_matches(w, '^\w') then upper(substr(w,1,1)) || substr(w,2) else w end), '')")
 
 
 def slug(v: str) -> str:

@@ -6,6 +6,8 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,12 +169,17 @@ JOBS: dict[str, tuple[Callable, tuple[str, ...], tuple[str, ...]]] = {
 
 
 def is_current(spark: SparkSession, folder: str, layer: str) -> bool:
-    """All files are there and, for declared layers, no column is missing."""
+    """All files are there, whole and readable, and for declared layers no column is missing."""
     files = JOBS[layer][2]
     if not all(lake.layer_exists(spark, folder, f) for f in files):
         return False
+    try:
+        saved = [lake.read_layer(spark, folder, f) for f in files]
+    except (AnalysisException, Py4JJavaError):  # a folder that cannot be read is written anew
+        log.warning("layer %s cannot be read", layer)
+        return False
     declared = S.LAYER_SCHEMAS.get(layer)
-    return declared is None or not S.missing_columns(lake.read_layer(spark, folder, layer), declared)
+    return declared is None or not S.missing_columns(saved[0], declared)
 
 
 def extract_all(spark: SparkSession, base: str, release: str, boundary: DataFrame, folder: str,
@@ -187,10 +194,10 @@ def extract_all(spark: SparkSession, base: str, release: str, boundary: DataFram
         if layer not in JOBS:
             continue
         job, kinds, files = JOBS[layer]
-        if is_current(spark, folder, layer):
-            status[layer] = "skipped"
-            continue
         try:
+            if is_current(spark, folder, layer):
+                status[layer] = "skipped"
+                continue
             sources = [lake.read_lake(spark, base, release, k) for k in kinds]
             result = job(*sources, boundary, zone)
             outputs = result if isinstance(result, dict) else {files[0]: result}
@@ -198,7 +205,7 @@ def extract_all(spark: SparkSession, base: str, release: str, boundary: DataFram
                 write_layer(df, folder, name)
             if layer in S.LAYER_SCHEMAS:
                 saved = lake.read_layer(spark, folder, layer)
-                for row in S.violations(saved, S.LAYER_SCHEMAS[layer]).take(100):
+                for row in S.violations(saved, S.LAYER_SCHEMAS[layer]).collect():  # a row per declared column at most
                     log.warning("%s: %s %s (%d)", layer, row.column_name, row.problem, row.null_count)
             status[layer] = "success"
         except Exception:  # one layer's input must not stop the rest

@@ -146,7 +146,7 @@ def overlap(source: str) -> str:
             from (select *, unnest(range(cast(floor(x0/{W}-r/2e0-1) as bigint), cast(ceil(x1/{W}-r/2e0+1) as bigint)+1)) q
               from (select *, unnest(range(cast(floor(y0/(1.5e0*{E})-1) as bigint), cast(ceil(y1/(1.5e0*{E})+1) as bigint)+1)) r
                 from ({source}))))
-          where {bottom} < {top} and least(x1, cx+{HALF_W}) > greatest(x0, cx-{HALF_W}))) where area > 1e-6"""
+          where {bottom} < {top} and least(x1, cx+{HALF_W}) > greatest(x0, cx-{HALF_W}))) where area > 1e-9"""
 
 
 # Cells with their centre in each square; a centre on the lower or left side counts as inside.

@@ -105,7 +105,12 @@ def sql() -> dict[str, str]:
     out["incident_durations"] = f"""select {text('event_id')} raw_payload,
       cast((epoch_us(ts)-epoch_us(date_trunc('hour', ts)))//60000000 as bigint) as minutes from events"""
     out["incident_stream_dedup"] = f"select distinct incident_id, last_updated from {plain}"
-    out["incident_closed"] = f"""select incident_id, first_seen, last_seen, sightings from ({life})
+    out["incident_closed"] = f"""select incident_id, first_seen, last_seen, sightings from (
+        select incident_id, min(ts) first_seen, max(ts) last_seen, count(*) sightings from (
+          select incident_id, ts, sum(fresh) over (partition by incident_id order by ts) spell from (
+            select incident_id, collected_at ts, case when collected_at - lag(collected_at) over (
+              partition by incident_id order by collected_at) <= interval 60 minute then 0 else 1 end fresh from {plain}))
+        group by incident_id, spell)
       where last_seen + interval 60 minute <= (select max(ts) from events) - interval 1 hour"""
     out["incident_hourly"] = f"""select date_trunc('hour', collected_at) as "hour", source, count(*) n from {plain} group by 1, 2"""
     return out

@@ -20,8 +20,9 @@ MEMBERS = {"pair_id": "pairId", "source_url": "sourceUrl", "size_bytes": "sizeBy
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """(key, size, last_modified) of every object under a folder; contents are never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/") + "/"
-    key = F.regexp_replace("path", F.lit("^.*" + base.replace(".", "[.]")), F.lit(""))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    key = F.substr("path", F.lit(len(full.rstrip("/")) + 2))
     return files.select(key.alias("key"), F.col("length").alias("size"),
                         F.col("modificationTime").alias("last_modified"))
 

@@ -22,8 +22,10 @@ def read_layer(spark: SparkSession, folder: str, layer: str) -> DataFrame:
 
 
 def layer_exists(spark: SparkSession, folder: str, layer: str) -> bool:
+    """A single file, or a folder whose write came to its end."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{layer}.parquet")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.isFile(path) or files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
 
 
 def row_counts(layers: dict[str, DataFrame]) -> DataFrame:

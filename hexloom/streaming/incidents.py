@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hexloom.operators.incidents import NORMALISERS
 from hexloom.session import shared_folder
@@ -105,36 +103,14 @@ def newest_rows(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
             .drop("_n", "batch"))
 
 
-_CLOSED = "incident_id string, first_us bigint, last_us bigint, sightings bigint"
-_STATE = "first_us bigint, last_us bigint, sightings bigint"
-
-
 def closed_incidents(incidents: DataFrame, delay: str, quiet_minutes: int = 60) -> DataFrame:
-    """Incidents that were not seen for ``quiet_minutes``, each once.
+    """Every spell of an incident that ended with more than ``quiet_minutes`` without a sighting.
 
-    The timer restarts with every sighting, unlike a watermark de-duplication.
+    Spells are session windows, so the rows do not depend on how the stream is cut into batches. The
+    window goes on with every sighting, unlike a watermark de-duplication.
     """
-    quiet_ms = quiet_minutes * 60_000
-
-    def step(key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            first, last, n = state.get
-            state.remove()
-            yield pd.DataFrame({"incident_id": [key[0]], "first_us": [first], "last_us": [last],
-                                "sightings": [n]})
-            return
-        first, last, n = state.get if state.exists else (None, None, 0)
-        for pdf in batches:
-            low, high = int(pdf["us"].min()), int(pdf["us"].max())
-            first = low if first is None else min(first, low)
-            last = high if last is None else max(last, high)
-            n += len(pdf)
-        state.update((first, last, n))
-        state.setTimeoutTimestamp(max(last // 1000 + quiet_ms, state.getCurrentWatermarkMs() + 1))
-
-    timed = (incidents.withWatermark("collected_at", delay)
-             .select("incident_id", "collected_at", F.unix_micros("collected_at").alias("us")))
-    closed = timed.groupBy("incident_id").applyInPandasWithState(
-        step, _CLOSED, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    return closed.select("incident_id", F.timestamp_micros("first_us").alias("first_seen"),
-                         F.timestamp_micros("last_us").alias("last_seen"), "sightings")
+    spells = (incidents.withWatermark("collected_at", delay)
+              .groupBy("incident_id", F.session_window("collected_at", f"{quiet_minutes} minutes"))
+              .agg(F.min("collected_at").alias("first_seen"), F.max("collected_at").alias("last_seen"),
+                   F.count(F.lit(1)).alias("sightings")))
+    return spells.drop("session_window")

@@ -94,6 +94,9 @@ def test_epoch(spark):
     ("2026-04-16T08:00:00", dt.datetime(2026, 4, 15, 22)),
     ("2026-04-16T08:00:00+10:00", dt.datetime(2026, 4, 15, 22)),
     ("2026-04-16T08:00:00+1000", dt.datetime(2026, 4, 15, 22)),
+    ("2026-04-16 08:00:00+10:00", dt.datetime(2026, 4, 15, 22)),
+    ("20260416T080000Z", dt.datetime(2026, 4, 16, 8)), ("20260416T0800+1000", dt.datetime(2026, 4, 15, 22)),
+    ("2026-04-16", dt.datetime(2026, 4, 15, 14)), ("2026-04-16 08:00:00", dt.datetime(2026, 4, 15, 22)),
     ("2026-04-16T08:00:00Z", dt.datetime(2026, 4, 16, 8)), ("junk", None), ("", None), (None, None)])
 def test_iso(spark, text, expected):
     assert one(spark, text, "string", lambda c: V.iso_time(c, "Australia/Melbourne")) == (expected,)
@@ -102,7 +105,8 @@ def test_iso(spark, text, expected):
 def test_safe_values(spark):
     for text, number in (("", None), ("2", 2), ("2.5", None), (None, None)):
         assert one(spark, text, "string", V.safe_int) == (number,)
-    for text, clean in ((" null ", None), (" a ", "a"), ("", None), (None, None)):
+    for text, clean in ((" null ", None), (" a ", "a"), ("Main St\r\n", "Main St"), ("\n", None),
+                        ("\tnull ", None), ("\u00a0a\n b\u3000", "a\n b"), ("", None), (None, None)):
         assert one(spark, text, "string", V.safe_text) == (clean,)
 
 
@@ -120,4 +124,6 @@ def test_display(spark):
     assert one(spark, 269755993169, "bigint", D.format_bytes) == ("251.2 GB",)
     assert one(spark, "x.tar.gz", "string", lambda c: D.format_label(D.extension(c))) == ("GZ",)
     assert one(spark, "raw/my-set_a/", "string", D.slug, D.title_of_prefix) == ("raw-my-set-a", "My Set A")
+    for text, expected in (("raw/dump.tar.gz", "Dump.Tar.Gz"), ("a  (b)\tc1", "A  (B)\tC1"), ("éa", "éA"), ("", "")):
+        assert one(spark, text, "string", D.title_of_prefix) == (expected,)
     assert one(spark, "plain", "string", D.extension) == (None,)

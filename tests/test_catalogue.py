@@ -73,6 +73,11 @@ def test_listing_and_document_round_trip(spark, tmp_path):
     (tmp_path / "raw" / "a" / "f.csv").write_text("12345")
     files = SC.read_listing(spark, str(tmp_path))
     assert [(r.key, r.size) for r in files.collect()] == [("raw/a/f.csv", 5)]
+    odd = tmp_path / "a+b"
+    inner = odd / str(odd).lstrip("/")
+    inner.mkdir(parents=True)
+    (inner / "h.csv").write_text("1")
+    assert [r.key for r in SC.read_listing(spark, str(odd)).collect()] == [f"{str(odd).lstrip('/')}/h.csv"]
     data = rows(spark, dict(id="a", size_bytes=1), dict(id="b", size_bytes=9))
     W.write_catalogue(data, str(tmp_path / "doc"), F.lit("now"))
     header = spark.read.json(str(tmp_path / "doc" / "header")).first()

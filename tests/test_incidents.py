@@ -164,6 +164,16 @@ def test_timer_closes_after_quiet_time_only(spark, tmp_path):
     assert got == {"a": (0, 2, 3), "b": (0, 0, 1)}
 
 
+def test_closings_do_not_depend_on_the_batches(spark, tmp_path):
+    seen = [("a", 0), ("b", 1), ("a", 10), ("c", 20)]
+    for name, batches in (("one", [seen]), ("many", [[s] for s in seen])):
+        (tmp_path / name).mkdir()
+        stream = SI.closed_incidents(observations(spark, tmp_path / name / "in", batches), "1 minute", 60)
+        got = {(r.incident_id, r.first_seen.hour, r.last_seen.hour, r.sightings)
+               for r in run(spark, stream, tmp_path / name).collect()}
+        assert got == {("a", 0, 0, 1), ("b", 1, 1, 1), ("a", 10, 10, 1)}
+
+
 def test_update_mode_rows_reduce_to_the_batch_result(spark, tmp_path):
     batches = [[("a", 0), ("b", 0)], [("a", 0), ("a", 5)], [("b", 6)]]
     source = observations(spark, tmp_path / "in", batches)
