@@ -29,8 +29,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: What an unknown character costs below the lowest score; the value of the format's reader.
 UNKNOWN_PENALTY = 10.0
-#: Runs that a worker's cache holds.
-CACHE_SIZE = 100_000
+#: Runs that a worker's cache holds, and what one text may add.
+CACHE_SIZE = 200_000
 
 
 class DoubleArray:
@@ -148,20 +148,25 @@ class Pieces:
         return ids[::-1]
 
     def encoder(self, bound: int = CACHE_SIZE):
-        """A function from text to ids as little-endian 32-bit integers, with a bounded cache of runs."""
-        known: dict[str, bytes] = {}
+        """A function from text to ids as little-endian 32-bit integers, with a bounded cache of runs.
+
+        The cache has two generations: a full younger one replaces the older, and runs met again
+        move over, so frequent ones are never lost.
+        """
+        young: dict[str, bytes] = {}
+        old: dict[str, bytes] = {}
 
         def encode(text: str | None) -> bytes:
+            nonlocal young, old
             if not text:
                 return b""
             runs = self.runs.findall(self.prefix + text.replace(" ", MARK))
-            missing = set(runs).difference(known)
-            if len(known) + len(missing) > bound:
-                known.clear()
-                missing = set(runs)
-            for run in missing:
-                known[run] = np.array(self.best_path(run), dtype="<i4").tobytes()
-            return b"".join(map(known.__getitem__, runs))
+            for run in set(runs).difference(young):
+                young[run] = old.get(run) or np.array(self.best_path(run), dtype="<i4").tobytes()
+            ids = b"".join(map(young.__getitem__, runs))
+            if len(young) > bound // 2:
+                young, old = {}, young
+            return ids
         return encode
 
     def decode(self, ids) -> str:
