@@ -23,6 +23,8 @@ from hexloom.llm.common import map_batches, prepare, residue, stored, table
 
 DIMENSIONS = 4096
 CENTROIDS = 4
+#: Tables of at most this many languages are broadcast.
+SMALL = 10_000
 #: Bound of the sample of each language, and the share of it that the rejection distance keeps.
 SAMPLE, KEPT = 1500, 0.999
 FOLDS, HELD_OUT = 4, 2
@@ -143,7 +145,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, dim
                           & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     total, seen = document_frequencies(learned, dimensions)
     idf = np.log((1 + total) / (1 + seen)) + 1
-    sizes = learned.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = stored(learned.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
+    if sizes.count() <= SMALL:  # otherwise texts and sizes meet by an exchange
+        sizes = F.broadcast(sizes)
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), F.lit(1 << 30))
     chosen = stored(learned.join(sizes, "lang").filter(place < F.lit(float(sample << 30)) / F.col("n")).drop("n"),
                     "lang-sample")
