@@ -7,6 +7,7 @@ from hexloom.llm import (
     fingerprint,
     language,
     licenses,
+    lines,
     mixing,
     pieces,
     quality,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_topk": topk.op10_topk,
+    "op11_line_dedup": lines.op11_line_dedup,
 }
 
 
 def sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
-    return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op8_licenses": licenses.SQL, "op10_topk": topk.SQL}
+    return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op8_licenses": licenses.SQL, "op10_topk": topk.SQL,
+            "op11_line_dedup": lines.SQL}
