@@ -11,6 +11,7 @@ from hexloom.llm import (
     mixing,
     pieces,
     quality,
+    spelling,
     tokencount,
     topk,
     toxicity,
@@ -28,10 +29,11 @@ QUERIES = {
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_topk": topk.op10_topk,
     "op11_line_dedup": lines.op11_line_dedup,
+    "op12_spelling": spelling.op12_spelling,
 }
 
 
 def sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
     return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op8_licenses": licenses.SQL, "op10_topk": topk.SQL,
-            "op11_line_dedup": lines.SQL}
+            "op11_line_dedup": lines.SQL, "op12_spelling": spelling.SQL}
