@@ -11,6 +11,7 @@ from hexloom.llm import (
     mixing,
     pieces,
     quality,
+    ranking,
     spelling,
     tokencount,
     topk,
@@ -30,10 +31,12 @@ QUERIES = {
     "op10_topk": topk.op10_topk,
     "op11_line_dedup": lines.op11_line_dedup,
     "op12_spelling": spelling.op12_spelling,
+    "op13_ranked_search": ranking.op13_ranked_search,
 }
 
 
 def sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
     return {"op3_near_dedup": dedup.SQL, "op7_mixing": mixing.SQL, "op8_licenses": licenses.SQL, "op10_topk": topk.SQL,
-            "op11_line_dedup": lines.SQL, "op12_spelling": spelling.SQL}
+            "op11_line_dedup": lines.SQL, "op12_spelling": spelling.SQL,
+            "op13_ranked_search": ranking.SQL}
