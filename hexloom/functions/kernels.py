@@ -309,45 +309,6 @@ def _meet(a, b):
             | _on(b, a[0], a[1], s3) | _on(b, a[2], a[3], s4))
 
 
-def _vertex_inside(points: _Rings, row: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Rows with a vertex on or inside the even-odd polygon of the row's edges."""
-    ring_row, ring = points.by_ring()
-    loop, at = _counting(points.start[ring], points.stop[ring] - 1)
-    vertex_row = ring_row[loop]
-    k, m = _pairs_by_row(vertex_row, row, points.rows)
-    px, py, e = points.x[at][k], points.y[at][k], edges[:, m]
-    straddles = (e[1] > py) != (e[3] > py)
-    rise = np.where(straddles, e[3] - e[1], 1.0)
-    right = straddles & (px < e[0] + (py - e[1]) * (e[2] - e[0]) / rise)
-    odd = np.bincount(k, weights=right, minlength=len(vertex_row)) % 2 == 1
-    on = np.bincount(k, weights=_on(e, px, py, _side(e, px, py)), minlength=len(vertex_row)) > 0
-    return np.bincount(vertex_row, weights=odd | on, minlength=points.rows) > 0
-
-
-def _meets(column: pa.Array, kinds: pa.Array, other: pa.Array) -> np.ndarray:
-    g, p = _Rings(column), _Rings(other)
-    solid = np.isin(np.asarray(kinds.to_pylist(), dtype=object), ["Polygon", "MultiPolygon"])
-    everywhere = np.ones(g.rows, dtype=bool)
-    border_row, border = _edges(p, everywhere)
-    own_row, own = _edges(g, solid)
-    hit = _vertex_inside(g, border_row, border)
-    k, m = _pairs_by_row(own_row, border_row, g.rows)
-    crossing = _meet(own[:, k], border[:, m])
-    hit |= np.bincount(own_row[k], weights=crossing, minlength=g.rows) > 0
-    shell = solid[own_row]
-    return hit | solid & _vertex_inside(p, own_row[shell], own[:, shell])
-
-
-def meets_batch(column: pa.Array, kinds: pa.Array, other: pa.Array) -> pa.Array:
-    """Geometry of each row against the polygon of the same row; touching counts.
-
-    Pairs of edges are compared for a bounded number of rows at a time.
-    """
-    size = np.maximum(_vertex_counts(_Rings(column)) * (_vertex_counts(_Rings(other)) + 1), 1)
-    parts = [_meets(column[s], kinds[s], other[s]) for s in _chunks(size)]
-    return pa.array(np.concatenate(parts) if parts else np.empty(0, dtype=bool), pa.bool_())
-
-
 def to_utm_rings(rings: Column, zone: int, south: bool) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -362,13 +323,6 @@ def cut_to_box(rings: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Co
     return F.arrow_udf(run, RINGS_TYPE).asNondeterministic()(rings, xmin, ymin, xmax, ymax)
 
 
-def meets(rings: Column, kind: Column, polygon: Column) -> Column:
-    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for args in batches:
-            yield meets_batch(*args)
-    return F.arrow_udf(run, "boolean")(rings, kind, polygon)
-
-
 def line_pieces(parts: Column, res: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hexloom.functions import edge_grid as EG
 from hexloom.functions import geometry as G
 from hexloom.functions import hexgrid as H
 from hexloom.functions import kernels as K
@@ -155,64 +156,37 @@ def hex_grid(boundary: DataFrame, res: int, rings: str = "rings", spread: bool =
 
 # -- boundary filter -----------------------------------------------------------------------------
 
-LEVELS = (64, 16, 4, 1)  # tiles per side; a boundary becomes at most about 5000 pieces
-# Pieces overlap fourfold on each level, so they hold some 17 vertices per vertex of the boundary
-# (16 bytes each): up to this many, the pieces stay below about 60 MB and are sent everywhere.
-BROADCAST_VERTICES = 200_000
-
-
-def _boundary_tiles(boundary: DataFrame, rings: str, box: Bounds, extent: float) -> DataFrame:
-    """Boundary pieces by level and tile; a piece covers its tile and the next one up and right.
-
-    The last level holds the whole boundary, for features larger than it.
-    """
-    b = boundary.select(F.col(rings).alias("_b"))
-    levels = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(extent / n).alias("side"), F.lit(n).alias("n"))
-                       for k, n in enumerate(LEVELS)])
-    side, n = F.col("_lv.side"), F.col("_lv.n")
-    x0, y0 = F.col("_ti") * side + box.xmin, F.col("_tj") * side + box.ymin
-    strip = K.cut_to_box(F.col("_b"), x0, F.lit(box.ymin), x0 + 2 * side, F.lit(box.ymax))
-    piece = K.cut_to_box(F.col("_s"), x0, y0, x0 + 2 * side, y0 + 2 * side)
-    index = F.sequence(F.lit(-1), n + 1)
-    tiles = (b.select("_b", F.explode(levels).alias("_lv"))
-             .select("_b", "_lv", F.explode(index).alias("_ti"))
-             .select("_lv", "_ti", strip.alias("_s")).where(F.size("_s") > 0)
-             .select("_lv", "_ti", "_s", F.explode(index).alias("_tj"))
-             .select("_lv", "_ti", "_tj", piece.alias("_piece")).where(F.size("_piece") > 0)
-             .select(F.col("_lv.k").alias("_level"), "_ti", "_tj", "_piece",
-                     (G.area(F.col("_piece")) >= 4 * side * side * (1 - 1e-12)).alias("_cover")))
-    whole = b.select(F.lit(len(LEVELS)).alias("_level"), F.lit(0).alias("_ti"), F.lit(0).alias("_tj"),
-                     F.col("_b").alias("_piece"), F.lit(False).alias("_cover"))
-    return tiles.unionByName(whole).withColumn("_pb", G.bounds(F.col("_piece")))
+# The grid holds some 100 bytes for each vertex and 25 for each of 65,536 tiles at most: up to this
+# many vertices it stays below about 50 MB and is sent everywhere.
+BROADCAST_VERTICES = 500_000
 
 
 def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "rings",
                         kind: str = "geom_type", boundary_rings: str = "rings") -> DataFrame:
-    """Features that meet the boundary polygon; touching counts.
+    """Features that meet the boundary polygon (even-odd rule); touching counts.
 
-    Each feature is looked up once: on the finest level whose tiles are no smaller than it, by its
-    lower left corner. Nothing is duplicated, and only features near the outline are tested edge by
-    edge. The pieces of a boundary of checked size are broadcast, so nothing is shuffled; those of a
-    larger one are joined by tile.
+    The boundary's edges lie on a grid of tiles with one inside/outside answer for each tile. A
+    feature's edges are compared with the boundary's edges of the same tiles only. The grid of a
+    boundary of checked size is broadcast, so nothing is joined or shuffled; for a larger one both
+    sides become rows of tiles, joined by tile.
     """
     box, vertices = measure_boundary(boundary, boundary_rings)
-    extent = max(box.xmax - box.xmin, box.ymax - box.ymin, 1e-9)
-    tiles = _boundary_tiles(boundary, boundary_rings, box, extent)
-    tiles = tiles.hint("broadcast" if vertices <= BROADCAST_VERTICES else "merge")
-    f, p = F.col("_fb"), F.col("_pb")
-    size = F.greatest(f.xmax - f.xmin, f.ymax - f.ymin)
-    level, side = F.lit(len(LEVELS)), F.lit(None).cast("double")
-    for k, n in reversed(list(enumerate(LEVELS))):
-        level = F.when(size <= extent / n, F.lit(k)).otherwise(level)
-        side = F.when(size <= extent / n, F.lit(extent / n)).otherwise(side)
-    tile = lambda v, origin: F.coalesce(F.floor((v - origin) / side).cast("int"), F.lit(0))
-    located = (features.withColumn("_fb", once(G.bounds(F.col(rings))))
-               .where(G.overlaps_box(f, box.xmin, box.ymin, box.xmax, box.ymax))
-               .withColumn("_level", level).withColumn("_ti", tile(f.xmin, box.xmin))
-               .withColumn("_tj", tile(f.ymin, box.ymin)))
-    close = (f.xmin <= p.xmax) & (f.xmax >= p.xmin) & (f.ymin <= p.ymax) & (f.ymax >= p.ymin)
-    candidates = located.join(tiles, ["_level", "_ti", "_tj"]).where(F.col("_cover") | close)
-    open_case = lambda c: F.when(~F.col("_cover"), F.col(c))
-    hit = K.meets(open_case(rings), F.col(kind), open_case("_piece"))
-    return (candidates.withColumn("_hit", hit).where(F.col("_cover") | F.col("_hit"))
+    f = F.col("_fb")
+    near = (features.withColumn("_fb", once(G.bounds(F.col(rings))))
+            .where(G.overlaps_box(f, box.xmin, box.ymin, box.xmax, box.ymax)).drop("_fb"))
+    if vertices <= BROADCAST_VERTICES:
+        outline = boundary.select(F.col(boundary_rings).cast(G.RINGS_TYPE).alias("g")).toArrow()["g"].combine_chunks()
+        shared = boundary.sparkSession.sparkContext.broadcast(EG.EdgeGrid(outline))
+        return (near.withColumn("_hit", EG.meets(F.col(rings), F.col(kind), shared)).where("_hit")
+                .select(*features.columns))
+    frame = EG.Frame(box.xmin, box.ymin, box.xmax, box.ymax, vertices)
+    tiles = (boundary.select(F.explode(EG.tile_rows(F.col(boundary_rings), F.lit("Polygon"), frame)).alias("_b"))
+             .select(F.col("_b.tile").alias("_tile"), "_b"))
+    # equal geometries have equal answers, so two hashes of the geometry name it
+    key = [F.xxhash64(F.lit(i), F.col(rings), F.col(kind)).alias(n) for i, n in ((1, "_h"), (2, "_g"))]
+    pieces = (near.select(*key, F.explode(EG.tile_rows(F.col(rings), F.col(kind), frame)).alias("_f"))
+              .select("_h", "_g", F.col("_f.tile").alias("_tile"), "_f"))
+    hits = (pieces.join(tiles.hint("merge"), "_tile").where(EG.tile_hit(F.col("_f"), F.col("_b")))
+            .select("_h", "_g").distinct())
+    return (near.select("*", *key).join(hits.hint("merge"), ["_h", "_g"], "left_semi")
             .select(*features.columns))

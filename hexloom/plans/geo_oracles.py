@@ -243,6 +243,11 @@ _UTM = """
 _L_HIT = """((x0<=1900 and x1>=100 and y0<=900 and y1>=100) or (x0<=900 and x1>=100 and y0<=1900 and y1>=100))"""
 
 
+# The outline of boundary_filter_slit as closed rectangles.
+SLIT_BOXES = [(100, 100, 600, 1500), (100, 100, 1500, 300), (640, 100, 900, 1500), (1200, 100, 1500, 1500),
+              (640, 100, 1500, 700), (640, 1100, 1500, 1500), (1600, 1600, 1900, 1900)]
+
+
 def _box_hit(ax, ay, bx, by):
     """Straight line against a closed box by clipping the parameter range."""
     lo, hi = ["0e0"], ["1e0"]
@@ -342,6 +347,12 @@ def sql() -> dict[str, str]:
     out["polygon_filter"] = f"select fid feature_id from ({squares(10)}) where {_L_HIT}"
     out["line_filter"] = f"""select fid feature_id from ({ROADS})
       where {_box_hit('100e0', '100e0', '1900e0', '900e0')} or {_box_hit('100e0', '100e0', '900e0', '1900e0')}"""
+    boxes = lambda test: " or ".join(test(*(f"{v}e0" for v in b)) for b in SLIT_BOXES)
+    over = boxes(lambda a, b, c, d: f"(x0<={c} and x1>={a} and y0<={d} and y1>={b})")
+    out["boundary_filter_slit"] = f"""select 'p' || k feature_id from (select k, x x0, y y0, x x1, y y1 from ({POIS})) where {over}
+      union all select 's' || fid from ({squares(10)}) where {over}
+      union all select 'l' || fid from ({squares(100)}) where {over}
+      union all select 'r' || fid from ({ROADS}) where {boxes(_box_hit)}"""
     out["utm_project"] = _UTM
     out["geometry_decode"] = f"""select fid p_partkey,
       case fid%3 when 0 then 'Point' when 1 then 'LineString' else 'Polygon' end geom_type,

@@ -238,6 +238,11 @@ def line_filter(spark, folder):
     return SP.filter_intersecting(lines, TB.boundary(spark, folder)).select("feature_id")
 
 
+def boundary_filter_slit(spark, folder):
+    """Points, roads and squares that meet an outline of two parts with a slit and a hole."""
+    return SP.filter_intersecting(TB.mixed_features(spark, folder), TB.slit_boundary(spark, folder)).select("feature_id")
+
+
 def utm_project(spark, folder):
     """Orders as lon/lat points: zone code, easting, northing and the way back."""
     key = F.col("o_orderkey")
@@ -382,7 +387,7 @@ QUERIES = {f.__name__: f for f in (
     road_speed_weighted, road_flag_fractions, road_surface_width, road_names_routes,
     road_attributes, building_hex, building_part_hex, landuse_hex, landcover_fraction,
     bathymetry_hex, division_counts, hex_grid, cell_outline, bbox_filter, polygon_filter,
-    line_filter, utm_project, geometry_decode, hex_features_wide, hex_ml_features, hex_ml_schema,
+    line_filter, boundary_filter_slit, utm_project, geometry_decode, hex_features_wide, hex_ml_features, hex_ml_schema,
     schema_violations, layer_manifest, satellite_hex_mean,
     satellite_stream_mean, satellite_summary,
     merge_features_embeddings, merge_match_counts, pixel_grid)}

@@ -215,3 +215,24 @@ def boundary(spark: SparkSession, folder: str) -> DataFrame:
     return n.select(F.array(F.array(corner(0.05, 0.05), corner(0.95, 0.05), corner(0.95, 0.45),
                                     corner(0.45, 0.45), corner(0.45, 0.95), corner(0.05, 0.95)))
                     .alias("rings"))
+
+
+def slit_boundary(spark: SparkSession, folder: str) -> DataFrame:
+    """An outline of two parts, the larger one with a slit from its border and a hole."""
+    n = table(spark, folder, "nation").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    s = F.col("n") * 4.0
+    ring = lambda *corners: F.array(*[G.point(s * a, s * b) for a, b in corners])
+    box = lambda a, b, c, d: ring((a, b), (c, b), (c, d), (a, d))
+    return n.select(F.array(
+        ring((1, 1), (15, 1), (15, 15), (6.4, 15), (6.4, 3), (6, 3), (6, 15), (1, 15)),
+        F.reverse(box(9, 7, 12, 11)), box(16, 16, 19, 19)).alias("rings"))
+
+
+def mixed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Points, roads and squares of two scales; the larger squares outgrow the outlines."""
+    kind = lambda df, tag, name: df.select(F.concat(F.lit(tag), F.col("feature_id")).alias("feature_id"),
+                                           F.lit(name).alias("geom_type"), "rings")
+    places = pois(spark, folder).select("feature_id", F.array(F.array(G.point(F.col("x"), F.col("y")))).alias("rings"))
+    return (kind(places, "p", "Point").unionByName(kind(nested_roads(spark, folder), "r", "LineString"))
+            .unionByName(kind(polygons(spark, folder, 10), "s", "Polygon"))
+            .unionByName(kind(polygons(spark, folder, 100), "l", "Polygon")))
