@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,28 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with all columns but the needed ones under names that clash with nothing, and the way back."""
+    names = {c: c if c in needed else f"aside_{i}" for i, c in enumerate(df.columns)}
+    hidden = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return hidden, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
+@contextmanager
+def without_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Small relations are merged as well while many short joins run: each broadcast costs the driver a thread and buffers."""
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """As many partitions as shuffles have, for work that costs far more than the exchange."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexloom.llm.common import prepare, stored, table
+from hexloom.llm.common import prepare, set_aside, stored, table
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -85,14 +85,15 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
     ``sizes``: doc_id, source, size (words). Returns those columns with source_size, weight, target
     and taken (size times the number of epochs taken). Documents without words take 0. Rows that
-    repeat an id share its place in the shuffle; among them smaller sizes come first, and whole
-    equal rows are interchangeable. An empty table gives an empty result.
+    repeat an id share its place in the shuffle; among them smaller sizes come first. Equal rows are
+    numbered: as many of them are taken as the budget allows, which ones makes no difference. An
+    empty table gives an empty result.
     """
-    spark = sizes.sparkSession
-    rows = sizes.withColumn("mix_key", shuffle_key("doc_id"))
-    count = sizes.count()
+    rows = stored(sizes.withColumn("mix_key", shuffle_key("doc_id")).withColumn("rid", F.monotonically_increasing_id()),
+                  "mix-sizes")
+    count = rows.count()
     slices = max(1, int(count ** 0.5))
-    sources = stored(source_table(sizes, weights, share, epochs), "mix-sources")
+    sources = stored(source_table(rows, weights, share, epochs), "mix-sources")
 
     # 1. finish times: running words inside (source, slice), plus the slices before
     sliced = rows.filter("size > 0").withColumn("slice", _slice(F.col("mix_key"), slices))
@@ -100,7 +101,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     before = totals.withColumn("before", F.coalesce(F.sum("slice_size").over(
         Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))).drop("slice_size")
-    inside = (Window.partitionBy("source", "slice").orderBy("mix_key", "doc_id", "size")
+    inside = (Window.partitionBy("source", "slice").orderBy("mix_key", "doc_id", "size", "rid")
               .rowsBetween(Window.unboundedPreceding, 0))
     placed = _join(_join(sliced.withColumn("inside", F.sum("size").over(inside)), before, "source", "slice"),
                    sources.drop("target"), "source")
@@ -108,7 +109,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     entries = (placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
                .withColumn("finish", ((F.col("epoch") * F.col("source_size") + F.col("upto")).cast("double")
                                       / F.col("weight"))))
-    entries = stored(entries.select("source", "source_rank", "doc_id", "size", "mix_key", "epoch", "finish",
+    entries = stored(entries.select("source", "source_rank", "doc_id", "size", "mix_key", "rid", "epoch", "finish",
                                     "budget"), "mix-entries")
 
     # 2. truncation at the budget: whole slices of virtual time first, then the slice of the cut
@@ -125,7 +126,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
         taken = timed
     else:
         order = Window.partitionBy("time_slice").orderBy(
-            "finish", "source_rank", "epoch", "mix_key", "doc_id", "size")
+            "finish", "source_rank", "epoch", "mix_key", "doc_id", "size", "rid")
         last = (timed.filter(F.col("time_slice") == F.lit(cut["cut_slice"]))
                 .withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
                             + F.lit(cut["used"]))
@@ -133,12 +134,12 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
         taken = timed.filter(F.col("time_slice") < F.lit(cut["cut_slice"])).unionByName(last)
 
     # 3. the cut of each source: its last entry in (epoch, key) order; applied without a shuffle of texts
-    cuts = taken.groupBy("source").agg(F.max(F.struct("epoch", "mix_key", "doc_id", "size")).alias("cut"))
+    cuts = taken.groupBy("source").agg(F.max(F.struct("epoch", "mix_key", "doc_id", "size", "rid")).alias("cut"))
     by_source = _join(sources, cuts, "source")
     out = _join(rows, by_source, "source")
-    own = F.struct("mix_key", "doc_id", "size")
+    own = F.struct("mix_key", "doc_id", "size", "rid")
     limit = F.struct(F.col("cut.mix_key").alias("mix_key"), F.col("cut.doc_id").alias("doc_id"),
-                     F.col("cut.size").alias("size"))
+                     F.col("cut.size").alias("size"), F.col("cut.rid").alias("rid"))
     times = F.when(F.col("cut").isNull() | (F.col("size") == 0), 0).otherwise(
         F.col("cut.epoch") + F.when(own <= limit, 1).otherwise(0))
     return out.select("doc_id", "source", "size", "source_size", "weight", "target",
@@ -146,8 +147,8 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of documents, computed once."""
-    return stored(docs.select("doc_id", "source", word_count("text").alias("size")), "mix-sizes")
+    """(doc_id, source, size) of documents."""
+    return docs.select("doc_id", "source", word_count("text").alias("size"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
@@ -155,18 +156,23 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     """The mixed corpus: the given rows, each repeated as often as it is taken, all columns kept.
 
     The decision reaches the texts through the id, so the text column crosses one exchange. Copies
-    of a row are equal rows; rows that share an id but differ count as separate documents.
+    of a row are equal rows; rows that share an id but differ count as separate documents. Of rows with
+    equal id, source and size, the group at a source's cut may be taken once more in part; only such
+    groups, one for each source at most, are numbered.
     """
-    keyed = docs.withColumn("_size", word_count("text"))
-    decided = mix_sizes(measured(docs), weights, share, epochs).filter("copies > 0")
-    decided = decided.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies"))
+    rows, restored = set_aside(docs, "doc_id", "text", "source")
+    keyed = rows.withColumn("_size", word_count("text"))
+    decided = mix_sizes(measured(docs), weights, share, epochs).groupBy("doc_id", "source", "size").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("copies").alias("_low"), F.sum("copies").alias("_sum")).filter("_sum > 0")
     decided = decided.select(F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"),
-                             F.col("size").alias("_s"), "_copies")
+                             F.col("size").alias("_s"), "_low", (F.col("_sum") - F.col("_n") * F.col("_low")).alias("_more"))
     same = (F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
             & (F.col("_size") == F.col("_s")))
-    return (keyed.join(decided, same)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+    met = keyed.join(stored(decided, "mix-copies"), same)
+    number = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_s").orderBy("text"))
+    parted = met.filter("_more > 0").withColumn("_copies", F.col("_low") + F.when(number <= F.col("_more"), 1).otherwise(0))
+    out = met.filter("_more = 0").withColumn("_copies", F.col("_low")).unionByName(parted).filter("_copies > 0")
+    return restored(out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
 
 
 def op7_mixing(spark, folder: str) -> DataFrame:

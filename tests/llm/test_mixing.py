@@ -58,6 +58,32 @@ def test_documents_are_repeated_as_taken(spark):
     assert mix_sizes(spark.createDataFrame([], "doc_id long, source string, size long")).count() == 0
 
 
+def test_repeated_rows_at_the_cut(spark, tmp_path):
+    """Of equal rows as many are taken as the budget allows; SQL says the same."""
+    import duckdb
+    text = " ".join(["w"] * 10)
+    rows = [(1, text, "a")] * 50 + [(i, text, "b") for i in range(2, 12)] + [(None, "x y", "a")] * 3 + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(spark, con, op7_mixing, SQL, str(tmp_path)) == []
+    got = op7_mixing(spark, str(tmp_path)).collect()
+    budget = sum(r["size"] for r in got)
+    assert budget - 20 < sum(r.taken for r in got) <= budget
+    mixed = mix_documents(df).collect()
+    assert sum(len((r.text or "").split()) for r in mixed) == sum(r.taken for r in got)
+
+
+def test_long_texts_and_clashing_names(spark):
+    names = ["_size", "_doc_id", "_source", "_s", "_copies", "_low", "_more", "size", "copies", "mix_key", "a.b"]
+    rows = [(i, "w " * (200_000 if i == 3 else 5), f"s{i % 2}", *["keep"] * len(names)) for i in range(6)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    out = mix_documents(df)
+    assert out.columns == df.columns
+    assert out.count() and all(r[3:] == ("keep",) * len(names) for r in map(tuple, out.collect()))
+
+
 def test_query_matches_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert compare(spark, connect(folder), op7_mixing, SQL, folder) == []
