@@ -138,16 +138,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     """(query_id, rank, vec_id, score): the k best vectors of each query, ties to the smaller id.
 
     Both tables hold vec_id and embedding. Vectors that are null or hold null, NaN or infinite
-    components take no part, nor do rows without an id; shorter vectors count as padded with zeros.
+    components take no part, nor do rows without an id; shorter vectors count as padded with zeros, empty
+    ones too.
     Every query row is answered on its own id: candidates with the query's id are left out, and of
     rows that repeat an id as queries, one is asked. Rows that repeat an id as candidates all count.
     Fewer than k candidates give fewer rows; empty tables give none. Extra columns are ignored.
     """
     spark = vectors.sparkSession
     rows = stored(vectors.select("vec_id", quantised("embedding").alias("q"))
-                  .filter("vec_id is not null and q is not null and size(q) > 0"), "vectors")
+                  .filter("vec_id is not null and q is not null"), "vectors")
     asked = stored(queries.select("vec_id", quantised("embedding").alias("q"))
-                   .filter("vec_id is not null and q is not null and size(q) > 0")
+                   .filter("vec_id is not null and q is not null")
                    .groupBy("vec_id").agg(F.min("q").alias("q")), "queries")
     shards = max(1, math.ceil(rows.count() / shard_rows))
     blocks = max(1, math.ceil(asked.count() / block_rows))
@@ -175,11 +176,11 @@ SQL = """
 with q as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
   from embeddings
-  where embedding is not null and len(embedding) > 0
+  where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
   select a.vec_id as query_id, b.vec_id,
-         list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+         coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::bigint as score
   from q a join q b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id)
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
        vec_id, score

@@ -34,7 +34,7 @@ def test_edge_rows(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, part int")
     got = sorted(map(tuple, top_k(df, df.filter("vec_id % 50 = 0"), 3, shard_rows=3).collect()))
     pad = {i: np.array([int(np.floor(256 * x)) for x in v] + [0] * (3 - len(v))) for i, v, _ in rows
-           if i is not None and v and not any(x is None or not np.isfinite(x) for x in v)}
+           if i is not None and v is not None and not any(x is None or not np.isfinite(x) for x in v)}
     vectors = [(i, pad[i]) for i, v, _ in rows if i in pad]
     want = brute(vectors, [(0, pad[0]), (50, pad[50])], 3)
     assert got == sorted(want)
@@ -42,6 +42,8 @@ def test_edge_rows(spark):
 
 def test_few_and_no_candidates(spark):
     schema = "vec_id long, embedding array<float>"
+    some = spark.createDataFrame([(0, [1.0]), (1, []), (2, [-1.0])], schema)
+    assert sorted(map(tuple, top_k(some, some.filter("vec_id < 2"), 1).collect())) == [(0, 1, 1, 0), (1, 1, 0, 0)]
     assert top_k(spark.createDataFrame([], schema), spark.createDataFrame([], schema)).count() == 0
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], schema)
     assert [tuple(r) for r in top_k(df, df.filter("vec_id = 0"), 5).collect()] == [(0, 1, 1, 256 * 512)]
