@@ -57,7 +57,7 @@ def gram_counts(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray |
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     low = codes >= len(LETTERS)
     if low.any():  # beyond the basic plane, Python tells what is a letter
-        kept = [ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else 0 for c in text]
+        kept = [ord(c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else 0 for c in text]
         letters = np.array(kept, dtype=np.uint32)
     else:
         letters = LETTERS[codes]
