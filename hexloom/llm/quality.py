@@ -152,14 +152,20 @@ class RuleModel:
         self.names, self.rules, self.weights, self.intercept = names, rules, weights, intercept
 
     def column(self, stats: str = "stats") -> Column:
-        """The score as a Spark expression over the struct of statistics."""
-        z = F.lit(float(self.intercept))
+        """The score as a Spark expression over the struct of statistics.
+
+        The rules are elements of an array, which generated code evaluates in methods of bounded size; one
+        sum over all of them would be a single very large method.
+        """
+        given = []
         for rule, weight in zip(self.rules, self.weights):
             met = F.lit(True)
             for k, low, cut in rule:
                 value = F.col(f"{stats}.{self.names[k]}")
                 met = met & ((value <= cut) if low else (value > cut))
-            z = z + F.when(met, float(weight)).otherwise(0.0)
+            given.append(F.when(met, float(weight)).otherwise(0.0))
+        start = F.lit(float(self.intercept))
+        z = F.aggregate(F.array(*given), start, lambda total, x: total + x) if given else start
         return 1 / (1 + F.exp(-z))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -170,8 +176,8 @@ class RuleModel:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel:
     """Fit on at most about ``sample`` labelled rows outside the held-out fold.
 
-    An id with several labels counts as good if any of them is. Without labels, or with labels of
-    one kind only, the model is the smoothed share of good rows.
+    An id with several labels counts as good if any of them is. Without labels, with labels of
+    one kind only or with too few for a rule, the model is the smoothed share of good rows.
     """
     marks = (labels.filter((residue("doc_id", FOLDS) != HELD_OUT) & F.col("doc_id").isNotNull()
                            & F.col("quality").isNotNull())
@@ -185,10 +191,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     rows = statistics_table(marked).select("doc_id", "quality", "stats.*").orderBy("doc_id").toPandas()
     names = [c for c in rows.columns if c not in ("doc_id", "quality")]
     x, y = rows[names].to_numpy(float), rows["quality"].to_numpy(float)
-    if not len(y) or y.min() == y.max():
+    rules = extract_rules(x, y) if len(y) and y.min() < y.max() else []
+    if not rules:
         good = (y.sum() + 1) / (len(y) + 2)
         return RuleModel(names, [], np.zeros(0), float(np.log(good / (1 - good))))
-    rules = extract_rules(x, y)
     w, b = fit_lasso(np.stack([covered(x, r) for r in rules], axis=1), y)
     used = np.flatnonzero(np.abs(w) > 1e-4)
     return RuleModel(names, [rules[i] for i in used], w[used], b)
