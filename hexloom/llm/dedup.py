@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexloom.llm.common import map_batches, prepare, stored, table
+from hexloom.llm.common import map_batches, prepare, set_aside, stored, table, without_broadcasts
 
 ROWS, BANDS = 4, 36
 COORDINATES = ROWS * BANDS
@@ -370,6 +370,16 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
 def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, label, component_id); the label of a group is one of its nodes."""
+    with without_broadcasts(docs.sparkSession):
+        every, grouped = _labelled(docs, words, percent)
+    smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    by_node = grouped.select("node", "label").join(smallest, "label").select("node", "label", "component_id")
+    return (every.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
+           .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
+
+
+def _labelled(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The features of all documents, and (node, first_id, label)."""
     every = stored(features(docs, words), "features")
     nodes = (every.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("first_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(0))).alias("bands")))
@@ -395,10 +405,7 @@ def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     if not last.isEmpty():
         labels = components(links.unionByName(last))
     grouped = nodes.select("node", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_node = grouped.select("node", "label").join(smallest, "label").select("node", "label", "component_id")
-    return (every.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
-           .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
+    return every, grouped
 
 
 def _full_sets(docs: DataFrame, details: DataFrame, words: int) -> DataFrame:
@@ -429,15 +436,16 @@ def one_per_group(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> Da
     rows that repeat that id, one. Rows without words belong to no group and all stay.
     """
     groups = _groups(docs, words, percent).filter("n_shingles > 0")
+    docs, restored = set_aside(docs, "doc_id", "text")
     chosen = groups.groupBy("label").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_doc_id"),
         F.col("text_hash").alias("_text_hash"))).alias("row")).select("row._doc_id", "row._text_hash")
-    blank = F.coalesce(F.col("text").rlike(r"^[\x20\x09-\x0D]*$"), F.lit(True))
+    blank = F.coalesce(F.col("text").rlike(r"\A[\x20\x09-\x0D]*\z"), F.lit(True))
     hashed = docs.filter(~blank).withColumn("_hash", F.xxhash64("text"))
     kept = (hashed.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
                         & (F.col("_hash") == F.col("_text_hash")))
             .dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns))
-    return docs.filter(blank).unionByName(kept)
+    return restored(docs.filter(blank).unionByName(kept))
 
 
 def op3_near_dedup(spark, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from hexloom.llm import pieces, quality, toxicity
@@ -85,6 +86,21 @@ def test_run_equals_stages_one_by_one(spark):
     assert Counter((r.doc_id, r.ids_sha256) for r in cp.run(spark, SF).collect()) == expected and expected
 
 
+def test_stages_keep_columns_of_any_name(spark, docs):
+    names = ["toxicity", "quality", "_size", "_hash", "_doc_id", "_source", "_text_hash", "_copies", "stats", "row", "a.b"]
+    clashing = docs.drop("ids").withColumns({n: F.lit(n) for n in names})
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, clashing, SF)
+        assert out.columns == clashing.columns, name
+        assert all(tuple(r)[-len(names):] == tuple(names) for r in out.collect()), name
+
+
+def test_blank_texts_are_those_without_words(spark):
+    rows = [(1, "\u2028"), (2, "\u2028"), (3, " \t\n"), (4, " \t\n"), (5, None), (6, "\x85"), (7, "\x85")]
+    kept = cp.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5, 6]
+
+
 def test_stages_take_an_empty_table(spark, docs):
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
