@@ -147,28 +147,53 @@ class Pieces:
             at = back[at]
         return ids[::-1]
 
-    def encoder(self, bound: int = CACHE_SIZE):
-        """A function from text to ids as little-endian 32-bit integers, with a bounded cache of runs.
-
-        The cache has two generations: a full younger one replaces the older, and runs met again
-        move over, so frequent ones are never lost.
+    def lookup(self, bound: int = CACHE_SIZE):
+        """A function from text to (ids as little-endian 32-bit integers, how many of them are byte
+        pieces, whether they decode to the text), with a bounded cache of runs.
+
+        A run is decoded once, when it is met first: pieces are joined byte by byte, so a text whose
+        runs all come back comes back itself. The cache has two generations: a full younger one
+        replaces the older, and runs met again move over, so frequent ones are never lost. Runs with
+        byte pieces or that don't come back are few and stand in a table of their own.
         """
         young: dict[str, bytes] = {}
         old: dict[str, bytes] = {}
+        odd: dict[str, tuple[int, bool]] = {}
+        single = frozenset(self.byte_ids.values())
 
-        def encode(text: str | None) -> bytes:
-            nonlocal young, old
+        def encode(text: str | None) -> tuple[bytes, int, bool]:
+            nonlocal young, old, odd
             if not text:
-                return b""
+                return b"", 0, True
             runs = self.runs.findall(self.prefix + text.replace(" ", MARK))
-            for run in set(runs).difference(young):
-                young[run] = old.get(run) or np.array(self.best_path(run), dtype="<i4").tobytes()
+            every = set(runs)
+            for run in every.difference(young):
+                ids = old.get(run)
+                if ids is None:
+                    path = self.best_path(run)
+                    ids = np.array(path, dtype="<i4").tobytes()
+                    n = sum(map(single.__contains__, path))
+                    back = b"".join(map(self.written.__getitem__, path)) == run.replace(MARK, " ").encode("utf-8", "surrogatepass")
+                    if n or not back:
+                        odd[run] = (n, back)
+                young[run] = ids
             ids = b"".join(map(young.__getitem__, runs))
+            strange = odd.keys() & every
+            met = [odd[r] for r in runs if r in strange] if strange else []
+            same = MARK not in text
+            if not all(back for _, back in met):
+                same = self.decode(memoryview(ids).cast("i")) == text
             if len(young) > bound // 2:
                 young, old = {}, young
-            return ids
+                odd = {r: v for r, v in odd.items() if r in old}
+            return ids, sum(n for n, _ in met), same
         return encode
 
+    def encoder(self, bound: int = CACHE_SIZE):
+        """A function from text to ids as little-endian 32-bit integers."""
+        encode = self.lookup(bound)
+        return lambda text: encode(text)[0]
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
@@ -186,33 +211,35 @@ def _appended(rows: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, name])
 
 
-def encode_texts(docs: DataFrame, pieces: Pieces, column: str = "ids", verified: str | None = None) -> DataFrame:
+def encode_texts(docs: DataFrame, pieces: Pieces, column: str = "ids", verified: str | None = None,
+                 singles: str | None = None) -> DataFrame:
     """The rows with the ids of their text, none for a null or empty text.
 
-    With the name ``verified`` the same map also decodes the ids and tells whether that gives the text
-    (null: empty) back, so no second worker holds the model. Rows and columns stay as they are;
-    columns of the new names are replaced.
+    With the name ``verified`` the same map also tells whether the ids decode to the text (null: empty),
+    so no second worker holds the model; a text with the blanks' marker U+2581 does not come back. With
+    the name ``singles`` it counts the ids of byte pieces. Rows and columns stay as they are; columns of
+    the new names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    kept = [c for c in docs.columns if c not in (column, verified)]
+    kept = [c for c in docs.columns if c not in (column, verified, singles)]
 
     def make():
         own, at = shared.value, kept.index("text")
-        encode = own.encoder()
+        encode = own.lookup()
 
         def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-            texts = rows.column(at).to_pylist()
-            parts = [encode(t) for t in texts]
+            parts, n, same = zip(*map(encode, rows.column(at).to_pylist())) if rows.num_rows else ((), (), ())
             ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
             out = _appended(rows, column, pa.ListArray.from_arrays(pa.array(ends), values))
-            if verified is None:
-                return out
-            same = [own.decode(memoryview(p).cast("i")) == (t or "") for p, t in zip(parts, texts)]
-            return _appended(out, verified, pa.array(same, pa.bool_()))
+            if verified:
+                out = _appended(out, verified, pa.array(same, pa.bool_()))
+            return _appended(out, singles, pa.array(n, pa.int64())) if singles else out
         return batch
     schema = docs.select(*kept).schema.add(column, ArrayType(IntegerType()))
-    return map_batches(docs.select(*kept), make, schema.add(verified, "boolean") if verified else schema)
+    for name, kind in ((verified, "boolean"), (singles, "long")):
+        schema = schema.add(name, kind) if name else schema
+    return map_batches(docs.select(*kept), make, schema)
 
 
 def decode_ids(rows: DataFrame, pieces: Pieces, ids: str = "ids", column: str = "decoded") -> DataFrame:
@@ -241,12 +268,10 @@ def op9_sentencepiece(spark, folder: str) -> DataFrame:
     prepare(spark)
     pieces = load()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = encode_texts(docs, pieces, verified="round_trip")
-    low, high = min(pieces.byte_ids.values(), default=0), max(pieces.byte_ids.values(), default=-1)
+    coded = encode_texts(docs, pieces, verified="round_trip", singles="n_bytes")
     return coded.select(
         "doc_id", F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_ids"),
-        F.size(F.filter("ids", lambda x: x.between(low, high))).cast("long").alias("n_bytes"),
-        ids_digest("ids").alias("ids_sha256"), "round_trip")
+        "n_bytes", ids_digest("ids").alias("ids_sha256"), "round_trip")
 
 
 SQL = None
