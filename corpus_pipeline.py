@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, folder) and works on all documents that the one before it kept. run()
 writes every stage as Parquet to the shared folder and reads it back, so a lost executor costs
 one stage at most. An empty table goes through all stages; columns beside doc_id, text and source are
-carried along, null texts count as empty ones.
+carried along whatever their names, null texts count as empty ones.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexloom.llm import dedup, mixing, pieces, quality, toxicity
-from hexloom.llm.common import prepare, stored, table
+from hexloom.llm.common import prepare, set_aside, stored, table
 
 #: A document with this toxicity or more goes, one with less than this quality goes.
 TOXIC, GOOD = 0.5, quality.THRESHOLD
@@ -21,13 +21,15 @@ TOXIC, GOOD = 0.5, quality.THRESHOLD
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the PU classifier, trained on the labels, does not find toxic."""
     model = toxicity.train(docs, table(spark, folder, "labels"))
-    return toxicity.score_toxicity(docs, model).filter(F.col("toxicity") < TOXIC).select(*docs.columns)
+    rows, restored = set_aside(docs, "doc_id", "text")
+    return restored(toxicity.score_toxicity(rows, model).filter(F.col("toxicity") < TOXIC))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the rule ensemble, trained on the labels, does not reject."""
     model = quality.train(docs, table(spark, folder, "labels"))
-    return quality.score_quality(docs, model).filter(F.col("quality") >= GOOD).select(*docs.columns)
+    rows, restored = set_aside(docs, "doc_id", "text")
+    return restored(quality.score_quality(rows, model).filter(F.col("quality") >= GOOD))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
