@@ -15,7 +15,9 @@ Scale: one map over whole texts; the trie and tables are broadcast and depend on
 
 from __future__ import annotations
 
+import functools
 import re
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,10 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: What an unknown character costs below the lowest score; the value of the format's reader.
 UNKNOWN_PENALTY = 10.0
-#: Runs that a worker's cache holds, and what one text may add.
-CACHE_SIZE = 200_000
+#: Runs that a worker's cache holds, and what one batch of texts may add.
+CACHE_SIZE = 400_000
+#: Bytes of a run up to which many runs are searched at once.
+SHORT = 48
 
 
 class DoubleArray:
@@ -76,7 +80,7 @@ class DoubleArray:
         base += [0] * 300
         check += [-1] * 300
         value += [-1] * 300
-        self.base, self.check, self.value = base, check, value
+        self.base, self.check, self.value = (np.array(a, dtype=np.int32) for a in (base, check, value))
 
 
 class Pieces:
@@ -108,11 +112,83 @@ class Pieces:
         crossing = any(MARK in p.lstrip(MARK) or "\n" in p for p in plain)
         self.runs = re.compile(r"(?s).+" if crossing else rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
+    @functools.cached_property
+    def _plain(self) -> tuple[list, list, list]:
+        """The trie's arrays as lists, which single look-ups read faster."""
+        return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.value.tolist()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_plain"}
+
+    def best_paths(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run's best path as little-endian 32-bit integers.
+
+        Short runs walk the trie side by side, one byte of all of them at a time; sums and ties are those
+        of best_path(), which long runs and runs with unknown characters take.
+        """
+        texts = [r.encode("utf-8", "surrogatepass") for r in runs]
+        short = [k for k, t in enumerate(texts) if len(t) <= SHORT]
+        out: list[bytes | None] = [None] * len(runs)
+        if short:
+            sizes = np.array([len(texts[k]) for k in short])
+            width = int(sizes.max())
+            letters = np.zeros((len(short), width), dtype=np.int32)
+            letters[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(texts[k] for k in short), dtype=np.uint8)
+            for k, ids in zip(short, self._side_by_side(letters, sizes, width)):
+                out[k] = ids
+        return [ids if ids is not None else np.array(self.best_path(r), dtype="<i4").tobytes()
+                for r, ids in zip(runs, out)]
+
+    def _side_by_side(self, letters: np.ndarray, sizes: np.ndarray, width: int) -> list[bytes | None]:
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        scores, n = np.array(self.scores), len(sizes)
+        best = np.full((width + 1, n), -np.inf)
+        back, piece = np.zeros((width + 1, n), dtype=np.int32), np.full((width + 1, n), -1, dtype=np.int32)
+        best[0] = 0
+        for i in range(width):
+            start = np.flatnonzero((best[i] > -np.inf) & (sizes > i))
+            first = letters[start, i]
+            step = np.where(first < 0x80, 1, np.where(first < 0xE0, 2, np.where(first < 0xF0, 3, 4)))
+            alone = np.zeros(n, dtype=bool)
+            own, node, here, wide = start, np.zeros(len(start), dtype=np.int32), best[i, start], step
+            for j in range(i, width):
+                at = base[node] + letters[own, j] + 1
+                on = (check[at] == node) & (sizes[own] > j)
+                own, node, here, wide = own[on], at[on], here[on], wide[on]
+                if not len(own):
+                    break
+                found = value[node]
+                some = found >= 0
+                alone[own[some & (wide == j + 1 - i)]] = True
+                total = here + scores[np.where(some, found, 0)]
+                some &= total > best[j + 1, own]
+                into = own[some]
+                best[j + 1, into], back[j + 1, into], piece[j + 1, into] = total[some], i, found[some]
+            lone = ~alone[start]
+            own, end, total = start[lone], i + step[lone], best[i, start[lone]] + self.unknown
+            some = total > best[end, own]
+            own, end = own[some], end[some]
+            best[end, own], back[end, own], piece[end, own] = total[some], i, -1
+        # from the ends back to the beginnings, all runs at once
+        at, own, order, ids, strange = sizes.copy(), np.arange(n), [], [], np.zeros(n, dtype=bool)
+        while len(own):
+            found = piece[at, own]
+            strange[own[found < 0]] = True
+            order.append(own)
+            ids.append(found)
+            at = back[at, own]
+            own, at = own[at > 0], at[at > 0]
+        order, ids = np.concatenate(order)[::-1], np.concatenate(ids)[::-1].astype("<i4")
+        data = ids[np.argsort(order, kind="stable")].tobytes()
+        ends = 4 * np.cumsum(np.bincount(order, minlength=n))
+        return [None if odd else data[a:b] for odd, a, b in zip(strange, [0, *ends[:-1].tolist()], ends.tolist())]
+
     def best_path(self, run: str) -> list[int]:
         """Ids of the best segmentation; of equal sums the one whose last pieces begin earlier."""
         text = run.encode("utf-8", "surrogatepass")
         n, lowest = len(text), float("-inf")
-        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
+        base, check, value = self._plain
+        scores = self.scores
         best, back, piece = [lowest] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for i in range(n):
@@ -148,8 +224,8 @@ class Pieces:
         return ids[::-1]
 
     def lookup(self, bound: int = CACHE_SIZE):
-        """A function from text to (ids as little-endian 32-bit integers, how many of them are byte
-        pieces, whether they decode to the text), with a bounded cache of runs.
+        """A function from texts to, for each, (ids as little-endian 32-bit integers, how many of them are
+        byte pieces, whether they decode to the text), with a bounded cache of runs.
 
         A run is decoded once, when it is met first: pieces are joined byte by byte, so a text whose
         runs all come back comes back itself. The cache has two generations: a full younger one
@@ -161,38 +237,41 @@ class Pieces:
         odd: dict[str, tuple[int, bool]] = {}
         single = frozenset(self.byte_ids.values())
 
-        def encode(text: str | None) -> tuple[bytes, int, bool]:
-            nonlocal young, old, odd
-            if not text:
-                return b"", 0, True
-            runs = self.runs.findall(self.prefix + text.replace(" ", MARK))
-            every = set(runs)
-            for run in every.difference(young):
-                ids = old.get(run)
-                if ids is None:
-                    path = self.best_path(run)
-                    ids = np.array(path, dtype="<i4").tobytes()
-                    n = sum(map(single.__contains__, path))
-                    back = b"".join(map(self.written.__getitem__, path)) == run.replace(MARK, " ").encode("utf-8", "surrogatepass")
-                    if n or not back:
-                        odd[run] = (n, back)
+        def learn(runs: list[str]) -> None:
+            for run, ids in zip(runs, self.best_paths(runs)):
+                path = memoryview(ids).cast("i")
+                n = 0 if single.isdisjoint(path) else sum(map(single.__contains__, path))
+                back = b"".join(map(self.written.__getitem__, path)) == run.replace(MARK, " ").encode("utf-8", "surrogatepass")
+                if n or not back:
+                    odd[run] = (n, back)
                 young[run] = ids
+
+        def coded(text: str | None, runs: list[str]) -> tuple[bytes, int, bool]:
             ids = b"".join(map(young.__getitem__, runs))
-            strange = odd.keys() & every
-            met = [odd[r] for r in runs if r in strange] if strange else []
-            same = MARK not in text
+            met = [odd[r] for r in runs if r in odd] if odd and not odd.keys().isdisjoint(runs) else []
+            same = MARK not in (text or "")
             if not all(back for _, back in met):
                 same = self.decode(memoryview(ids).cast("i")) == text
+            return ids, sum(n for n, _ in met), same
+
+        def encode(texts: list[str | None]) -> list[tuple[bytes, int, bool]]:
+            nonlocal young, old, odd
+            split = [self.runs.findall(self.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
+            new = set().union(*split).difference(young)
+            again = new.intersection(old)
+            young.update((r, old[r]) for r in again)
+            learn(list(new - again))
+            out = list(map(coded, texts, split))
             if len(young) > bound // 2:
                 young, old = {}, young
                 odd = {r: v for r, v in odd.items() if r in old}
-            return ids, sum(n for n, _ in met), same
+            return out
         return encode
 
     def encoder(self, bound: int = CACHE_SIZE):
         """A function from text to ids as little-endian 32-bit integers."""
         encode = self.lookup(bound)
-        return lambda text: encode(text)[0]
+        return lambda text: encode([text])[0][0]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
@@ -211,6 +290,15 @@ def _appended(rows: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, name])
 
 
+#: Of a worker, by model; the texts of a batch that are looked up together.
+_lookups: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+TOGETHER = 250
+
+
+def worker_lookup(model: Pieces):
+    return _lookups.get(model) or _lookups.setdefault(model, model.lookup())
+
+
 def encode_texts(docs: DataFrame, pieces: Pieces, column: str = "ids", verified: str | None = None,
                  singles: str | None = None) -> DataFrame:
     """The rows with the ids of their text, none for a null or empty text.
@@ -225,10 +313,13 @@ def encode_texts(docs: DataFrame, pieces: Pieces, column: str = "ids", verified:
 
     def make():
         own, at = shared.value, kept.index("text")
-        encode = own.lookup()
+        # a worker keeps its broadcast values, and so its cache, from task to task
+        encode = worker_lookup(own)
 
         def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-            parts, n, same = zip(*map(encode, rows.column(at).to_pylist())) if rows.num_rows else ((), (), ())
+            texts = rows.column(at).to_pylist()
+            found = [x for low in range(0, len(texts), TOGETHER) for x in encode(texts[low:low + TOGETHER])]
+            parts, n, same = zip(*found) if found else ((), (), ())
             ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
             out = _appended(rows, column, pa.ListArray.from_arrays(pa.array(ends), values))

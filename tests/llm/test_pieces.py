@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import numpy as np
 import pytest
 
 from hexloom.llm.pieces import MODEL, DoubleArray, Pieces, decode_ids, encode_texts, load, op9_sentencepiece
@@ -91,3 +92,22 @@ def test_round_trip_of_table(spark):
 def test_query(spark):
     got = op9_sentencepiece(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r.round_trip for r in got) and all(r.n_ids > 0 for r in got if r.n_chars)
+
+
+def test_runs_side_by_side_equal_one_by_one():
+    own = load()
+    rng = np.random.default_rng(4)
+    letters = list("etaoinshrd") + ["é", "ñ", "日", "😀", "\u0378", "▁", ".", "Q", "\n"]
+    runs = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(2000)] + ["▁the", "▁" * 60, "x" * 200]
+    got = own.best_paths(runs)
+    assert [list(memoryview(b).cast("i")) for b in got] == [own.best_path(r) for r in runs]
+
+
+def test_byte_pieces_and_the_marker_are_told():
+    own = load()
+    texts = ["plain words", "a \u0378 b", "with ▁ inside", None, ""]
+    low, high = min(own.byte_ids.values()), max(own.byte_ids.values())
+    for text, (ids, singles, same) in zip(texts, own.lookup(bound=4)(texts)):
+        ids = memoryview(ids).cast("i")
+        assert singles == sum(low <= i <= high for i in ids)
+        assert same == (own.decode(ids) == (text or "")) == ("▁" not in (text or ""))
