@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexloom.functions import display as D
-from hexloom.session import cut_lineage
 
 # Dataset categories with their labels, in display order.
 CATEGORIES = {
@@ -18,6 +17,8 @@ CATEGORIES = {
 }
 DEFAULT_CATEGORY = "demographics"
 DEFAULT_REGION = "Unknown"
+#: Records whose (date, id) give the points at which the growth curve is cut.
+SPLIT_SAMPLE = 2000
 
 
 def categories(spark: SparkSession) -> DataFrame:
@@ -108,17 +109,23 @@ def region_stats(datasets: DataFrame) -> DataFrame:
 def growth_curve(datasets: DataFrame, ranges: int | None = None) -> DataFrame:
     """Running total of bytes by date, with an anchor row one month before the first date.
 
-    A global running sum in one window would put all rows into one task. Here the rows are cut
-    into ranges of (date, id); each range is summed on its own and shifted by the total of the
-    ranges before it. The range number is stored by a reliable checkpoint, so a recomputed task
-    cannot see other limits.
+    A global running sum in one window would put all rows into one task. Here the rows are cut into
+    ranges of (date, id) at points from a bounded sample; each range is summed on its own and shifted
+    by the total of the ranges before it. The points are values, so a recomputed task sees the same.
     """
     spark = datasets.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = ["id", "name", "category", "size_bytes", "last_modified"]
-    cut = (datasets.select(*columns).repartitionByRange(n, "last_modified", "id")
-           .withColumn("_range", F.spark_partition_id()))
-    cut = cut_lineage(cut)
+    own = F.struct("last_modified", "id")
+    sample = (datasets.where(F.col("last_modified").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(SPLIT_SAMPLE)
+              .agg(F.array_sort(F.collect_list(own)).alias("s"))
+              .select(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(
+                  "s", F.floor(i * F.size("s") / n).cast("int")))).alias("p")) if n > 1 else None)
+    points = [p for p in sample.first()["p"] if p is not None] if sample is not None else []
+    limits = F.array(*[F.struct(F.lit(p["last_modified"]).alias("last_modified"), F.lit(p["id"]).alias("id"))
+                       for p in points])
+    cut = datasets.select(*columns).withColumn(
+        "_range", F.size(F.filter(limits, lambda p: p < own)) if points else F.lit(0))
     per_range = cut.groupBy("_range").agg(F.sum("size_bytes").alias("_bytes"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # n rows
     offsets = per_range.select("_range", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_offset"))

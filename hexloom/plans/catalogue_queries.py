@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexloom.functions import display as D
 from hexloom.operators import catalogue as C
+from hexloom.operators import statistics as ST
 from hexloom.plans import testbed as TB
 from hexloom.plans.geo_queries import rounded
 from hexloom.plans.incident_queries import naive
@@ -191,11 +192,7 @@ def layer_gaps(spark, folder):
 
 def speed_summary(spark, folder):
     """Count, mean, extremes and quartiles of the parsed speed limit."""
-    v = F.col("speed_limit_kmh")
-    r = TB.roads(spark, folder).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"),
-        *[F.percentile(v, p).alias(n) for n, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))],
-        F.max(v).alias("max"))
+    r = ST.summary(TB.roads(spark, folder), "speed_limit_kmh", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return rounded(r, 6)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexloom.functions import values as V
@@ -50,11 +53,12 @@ def write_raw_snapshots(documents: DataFrame, folder: str, poll: str | None = No
 def write_backfill(documents: DataFrame, folder: str, source: str = "tfnsw-historical") -> None:
     """History answers under the start date of their window.
 
-    ``documents`` has value, window_start, window_end; the text row keeps one answer per line.
+    ``documents`` has value, window_start, window_end; the text row keeps one answer per line. A window
+    that is fetched again replaces its former answers and no others.
     """
     keyed = documents.select(one_line(F.col("value")).alias("value"), F.lit(source).alias("source"),
                              V.partition_keys(F.col("window_start"))["dt"].alias("dt"))
-    (keyed.write.mode("append").partitionBy("source", "dt")
+    (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "dt")
      .option("compression", "gzip").text(folder))
 
 
@@ -110,3 +114,16 @@ def write_catalogue(datasets: DataFrame, folder: str, generated_at: Column) -> N
                           F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"))
     (header.withColumn("generated_at", generated_at).coalesce(1)
      .write.mode("overwrite").json(f"{base}/header"))
+
+
+# Messages of the poll log.
+POLL_OK, POLL_FAILED = "poll_source_ok", "poll_source_failed"
+
+
+def write_poll_log(spark: SparkSession, folder: str, source: str, poll: str, entry: dict) -> None:
+    """One JSON line for one feed and poll; a repeated poll replaces its own line."""
+    level = "ERROR" if entry["msg"] == POLL_FAILED else "INFO"
+    line = json.dumps({"ts": dt.datetime.now(dt.timezone.utc).isoformat(), "level": level, "source": source, **entry},
+                      ensure_ascii=False)
+    (spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite")
+     .text(f"{folder.rstrip('/')}/source={source}/poll={poll}"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexloom.operators.incidents import NORMALISERS
 from hexloom.session import shared_folder
-from hexloom.sinks.writers import write_incidents, write_raw_snapshots
+from hexloom.sinks.writers import POLL_FAILED, POLL_OK, write_incidents, write_poll_log, write_raw_snapshots
 from hexloom.sources import snapshots
 
 log = logging.getLogger(__name__)
@@ -30,18 +31,32 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def collect_feed(spark: SparkSession, source: str, inbox: str, raw: str, processed: str,
-                 checkpoint: str, interval: str | None = "5 minutes", files_per_batch: int | None = None):
+                 checkpoint: str, interval: str | None = "5 minutes", files_per_batch: int | None = None,
+                 poll_log: str | None = None):
     """One query per feed: raw snapshots and normalised incidents of every micro-batch.
 
-    A feed that fails stops only its own query. After downtime the checkpoint catches up.
+    A feed that fails stops only its own query. After downtime the checkpoint catches up. With
+    ``poll_log`` every micro-batch leaves one JSON line: outcome, features, records and seconds.
     """
     normalise = NORMALISERS[source]
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        found = batch.where(F.col("source") == source)
-        write_raw_snapshots(found, raw, f"{source}-{batch_id}")
-        parts = snapshots.features(found).withColumn("list_no", F.lit(0))
-        write_incidents(normalise(parts), processed, f"{source}-{batch_id}")
+        started, poll = time.monotonic(), f"{source}-{batch_id}"
+        # names of the observations are as many as polls, so each belongs to one query run
+        features, records = Observation(f"features-{uuid.uuid4().hex}"), Observation(f"records-{uuid.uuid4().hex}")
+        try:
+            found = batch.where(F.col("source") == source)
+            write_raw_snapshots(found, raw, poll)
+            parts = snapshots.features(found).withColumn("list_no", F.lit(0)).observe(features, F.count(F.lit(1)).alias("n"))
+            write_incidents(normalise(parts).observe(records, F.count(F.lit(1)).alias("n")), processed, poll)
+        except Exception as exc:
+            if poll_log:
+                write_poll_log(spark, poll_log, source, poll, {"msg": POLL_FAILED, "err": str(exc)[:500]})
+            raise
+        if poll_log:
+            write_poll_log(spark, poll_log, source, poll, {
+                "msg": POLL_OK, "raw_features": features.get["n"], "normalized_records": records.get["n"],
+                "elapsed_sec": round(time.monotonic() - started, 2)})
 
     writer = (snapshots.stream_snapshots(spark, inbox, files_per_batch).writeStream
               .queryName(f"collect-{source}").option("checkpointLocation", checkpoint)
@@ -50,13 +65,14 @@ def collect_feed(spark: SparkSession, source: str, inbox: str, raw: str, process
     return writer.trigger(**trigger).start()
 
 
-def collect_all(spark: SparkSession, inbox: str, raw: str, processed: str, checkpoint: str) -> dict[str, str]:
+def collect_all(spark: SparkSession, inbox: str, raw: str, processed: str, checkpoint: str,
+                poll_log: str | None = None) -> dict[str, str]:
     """Catch up all feeds once; returns feed -> ok or failed."""
     outcome = {}
     for source in NORMALISERS:
         try:
             collect_feed(spark, source, f"{inbox}/source={source}", raw, processed,
-                         f"{checkpoint}/{source}", interval=None).awaitTermination()
+                         f"{checkpoint}/{source}", interval=None, poll_log=poll_log).awaitTermination()
             outcome[source] = "ok"
         except Exception:  # the other feeds go on
             log.exception("feed %s failed", source)

@@ -41,6 +41,28 @@ def test_growth_with_one_hot_date(spark):
     assert got == sorted(want)
 
 
+def test_summary_of_distinct_and_tied_values(spark):
+    """Every value differs, or a third of all rows share one; the figures are exact."""
+    import statistics
+
+    import numpy as np
+
+    from hexloom.operators import statistics as ST
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "top": 1.0, "low": 0.0, "odd": 0.333}
+    rng = np.random.default_rng(3)
+    for values in (rng.permutation(997) * 0.37, np.where(rng.random(800) < 0.35, 5.0, rng.normal(size=800)), np.array([4.0]),
+                   np.array([1.0, 2.0])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+        row = ST.summary(df, "v", shares, parts=7).first()
+        assert row["count"] == len(values) and (row["min"], row["max"]) == (values.min(), values.max())
+        for name, share in shares.items():
+            assert abs(row[name] - np.quantile(values, share)) < 1e-9, name
+        assert abs(row["mean"] - values.mean()) < 1e-9
+        assert row["std"] is None if len(values) == 1 else abs(row["std"] - statistics.stdev(values.tolist())) < 1e-9
+    empty = ST.summary(spark.createDataFrame([], "v double"), "v", shares).first()
+    assert empty["count"] == 0 and all(empty[c] is None for c in ("mean", "std", "min", "q50", "max"))
+
+
 def test_pair_impact(spark):
     df = rows(spark, *[dict(id=f"r{i}", pair_id="gps-data", stage="raw", size_bytes=b, file_count=1, format="CSV")
                        for i, b in enumerate((155759777928, 76042272152))],

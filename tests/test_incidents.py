@@ -88,6 +88,52 @@ def test_backfill_sink(spark, tmp_path):
     assert (row.value, row.source, str(row.dt)) == ('{"features":[]}', "tfnsw-historical", "2026-01-01")
 
 
+def test_a_window_fetched_again_replaces_itself(spark, tmp_path):
+    start = dt.datetime(2026, 1, 1)
+    docs = lambda text, *days: spark.createDataFrame(
+        [(text, start + dt.timedelta(days=d), start + dt.timedelta(days=d + 90)) for d in days],
+        "value string, window_start timestamp, window_end timestamp")
+    out = str(tmp_path / "out")
+    W.write_backfill(docs("a", 0, 90), out)
+    for _ in range(2):
+        W.write_backfill(docs("b", 90), out)
+    assert sorted((r.value, str(r.dt)) for r in spark.read.text(out).collect()) == [("a", "2026-01-01"), ("b", "2026-04-01")]
+
+
+def test_poll_log_tells_what_each_feed_did(spark, tmp_path):
+    """One line per feed and poll; the analysis reads what the sink wrote."""
+    inbox, raw, done, state, log = (str(tmp_path / n) for n in ("inbox", "raw", "processed", "state", "log"))
+    box = tmp_path / "inbox"
+    for source in I.NORMALISERS:
+        (box / f"source={source}").mkdir(parents=True)
+    land(box, "tfnsw", "20260416T080000Z", [feature_a(1), feature_a(2)])
+    land(box, "qldtraffic", "20260416T080000Z", [])
+    land(box, "dtpvic", "20260416T080000Z", [])
+    outcome = SI.collect_all(spark, inbox, raw, done, state, poll_log=log)
+    assert outcome == dict.fromkeys(I.NORMALISERS, "ok")
+    land(box, "tfnsw", "20260416T080500Z", [feature_a(1)])
+    SI.collect_all(spark, inbox, raw, done, state, poll_log=log)
+    lines = [json.loads(r.value) for r in spark.read.text(log).collect()]
+    own = sorted((x["msg"], x.get("raw_features"), x.get("normalized_records")) for x in lines if x["source"] == "tfnsw")
+    assert own == [("poll_source_ok", 1, 1), ("poll_source_ok", 2, 2)]
+    counted = I.poll_outcomes(spark.read.text(log), F.current_timestamp() + F.expr("INTERVAL 1 MINUTE")).collect()
+    assert {r.msg: r.n for r in counted} == {"poll_source_ok": len(lines)}
+
+
+def test_poll_log_of_a_failing_feed(spark, tmp_path):
+    inbox, done, state, log = (str(tmp_path / n) for n in ("inbox", "processed", "state", "log"))
+    box = tmp_path / "inbox"
+    for source in I.NORMALISERS:
+        (box / f"source={source}").mkdir(parents=True)
+        land(box, source, "20260416T080000Z", [])
+    (tmp_path / "raw").write_text("a file where the folder of raw answers should be")
+    outcome = SI.collect_all(spark, inbox, str(tmp_path / "raw"), done, state, poll_log=log)
+    assert outcome == dict.fromkeys(I.NORMALISERS, "failed")
+    lines = [json.loads(r.value) for r in spark.read.text(log).collect()]
+    assert sorted(x["source"] for x in lines) == sorted(I.NORMALISERS)
+    assert all(x["msg"] == "poll_source_failed" and x["level"] == "ERROR" and x["err"] for x in lines)
+
+
 def test_collect_all_lands_both_zones_and_resumes(spark, tmp_path):
     inbox, raw, done, state = (str(tmp_path / n) for n in ("inbox", "raw", "processed", "state"))
     box = tmp_path / "inbox"
