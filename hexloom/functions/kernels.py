@@ -250,6 +250,48 @@ def box_batch(column: pa.Array, xmin, ymin, xmax, ymax) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), rings)
 
 
+HALVES_TYPE = f"array<struct<i0:bigint,i1:bigint,j0:bigint,j1:bigint,cut:boolean,rings:{RINGS_TYPE}>>"
+
+
+def halve_batch(column: pa.Array, i0, i1, j0, j1, res: int, most: int) -> pa.Array:
+    """Polygons cut into pieces of at most ``most`` blocks each.
+
+    A polygon that reaches more is cut in two along its longer side, the halves again, and so on; a
+    piece that vanishes is dropped. Smaller polygons stay whole, as one piece.
+    """
+    e = edge(res)
+    w = SQRT3 * e
+    row = np.arange(len(column))
+    ranges = np.stack([v.to_numpy(zero_copy_only=False).astype(np.int64) for v in (i0, i1, j0, j1)])
+    rings, cut = column, np.zeros(len(column), dtype=bool)
+    done = []
+    while len(row):
+        wide, high = ranges[1] - ranges[0] + 1, ranges[3] - ranges[2] + 1
+        large = wide * high > most
+        small = np.flatnonzero(~large)
+        done.append((row[small], ranges[:, small], cut[small], rings.take(pa.array(small))))
+        twice = np.repeat(np.flatnonzero(large), 2)
+        row, ranges, across = row[twice], ranges[:, twice], (wide >= high)[twice]
+        second = np.arange(len(twice)) % 2 == 1
+        for low, way in ((0, across), (2, ~across)):
+            middle = (ranges[low] + ranges[low + 1]) // 2
+            ranges[low] = np.where(way & second, middle + 1, ranges[low])
+            ranges[low + 1] = np.where(way & ~second, middle, ranges[low + 1])
+        box = (ranges[0] * BLOCK * w - w / 2, ranges[2] * BLOCK * (1.5 * e) - e,
+               (ranges[1] * BLOCK + BLOCK) * w, (ranges[3] * BLOCK + BLOCK - 1) * (1.5 * e) + e)
+        rings = box_batch(rings.take(pa.array(twice)), *map(pa.array, box))
+        left = np.flatnonzero(np.diff(np.asarray(rings.offsets)) > 0)
+        row, ranges, rings, cut = row[left], ranges[:, left], rings.take(pa.array(left)), np.ones(len(left), dtype=bool)
+    row = np.concatenate([d[0] for d in done])
+    order = np.argsort(row, kind="stable")
+    limits = np.concatenate([d[1] for d in done], axis=1)[:, order]
+    rings = pa.concat_arrays([d[3] for d in done]).take(pa.array(order))
+    pieces = pa.StructArray.from_arrays([*map(pa.array, limits), pa.array(np.concatenate([d[2] for d in done])[order]), rings],
+                                        names=["i0", "i1", "j0", "j1", "cut", "rings"])
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(column)))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces)
+
+
 def _rebuilt(column: pa.Array, x: np.ndarray, y: np.ndarray) -> pa.Array:
     """The same nesting over new coordinates."""
     points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
@@ -323,6 +365,14 @@ def cut_to_box(rings: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Co
     return F.arrow_udf(run, RINGS_TYPE).asNondeterministic()(rings, xmin, ymin, xmax, ymax)
 
 
+def halves(rings: Column, ranges: Column, res: int, most: int) -> Column:
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for args in batches:
+            yield halve_batch(*args, res, most)
+    return F.arrow_udf(run, HALVES_TYPE).asNondeterministic()(
+        rings, *[ranges[n] for n in ("i0", "i1", "j0", "j1")])
+
+
 def line_pieces(parts: Column, res: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -18,7 +18,7 @@ from hexloom.functions import kernels as K
 from hexloom.functions.kernels import BLOCK
 from hexloom.functions.plan import once
 
-SPREAD_BLOCKS = 64    # polygons over more blocks than this are redistributed
+PIECE_BLOCKS = 64    # blocks that a piece of a polygon reaches at most
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,9 @@ def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
                     region: Bounds | None = None, spread: bool = True) -> DataFrame:
     """Cut polygons into blocks of cells; adds the block coordinates ``_i`` and ``_j``.
 
-    With ``spread`` the few polygons that cover many blocks are exploded in their own branch and
-    redistributed, so a country-sized polygon does not stay in one task.
+    A polygon over many blocks is halved again and again until its pieces reach few; with ``spread``
+    the pieces are redistributed, so a country-sized polygon does not stay in one task. All polygons
+    take this one way, so the source is read once.
     """
     others = [c for c in polygons.columns if c != rings]
     box = once(G.bounds(F.col(rings)))
@@ -102,24 +103,14 @@ def split_to_blocks(polygons: DataFrame, res: int, rings: str = "rings",
                          F.least(b.xmax, F.lit(region.xmax)).alias("xmax"),
                          F.least(b.ymax, F.lit(region.ymax)).alias("ymax"))
     ranged = located.withColumn("_n", _block_ranges(reach, res))
-    blocks = (F.col("_n.i1") - F.col("_n.i0") + 1) * (F.col("_n.j1") - F.col("_n.j0") + 1)
-
-    def strips(df):
-        return df.withColumn("_i", F.explode(H.span(F.col("_n.i0"), F.col("_n.i1"))))
-
-    def stacked(df):
-        return df.withColumn("_j", F.explode(H.span(F.col("_n.j0"), F.col("_n.j1"))))
-
-    pieces = stacked(strips(ranged.where(blocks <= SPREAD_BLOCKS) if spread else ranged))
+    pieces = (ranged.select(*others, "_box", K.halves(F.col(rings), F.col("_n"), res, PIECE_BLOCKS).alias("_p"))
+              .select(*others, "_box", F.explode("_p").alias("_p")))
     if spread:
-        edges = _block_box(F.col("_i"), F.lit(0), res)
-        b = F.col("_box")
-        large = (strips(ranged.where(blocks > SPREAD_BLOCKS))
-                 .withColumn(rings, K.cut_to_box(F.col(rings), edges["xmin"], b.ymin, edges["xmax"], b.ymax))
-                 .where(F.size(rings) > 0)
-                 .repartition("_i", "_box")
-                 .withColumn("_box", G.bounds(F.col(rings))))
-        pieces = pieces.unionByName(stacked(large).select(*pieces.columns))
+        pieces = pieces.repartition("_box", "_p.i0", "_p.j0")
+    pieces = (pieces.select(*others, "_p", F.when(F.col("_p.cut"), G.bounds(F.col("_p.rings"))).otherwise(F.col("_box")).alias("_box"))
+              .select(*others, "_p", "_box", F.explode(H.span(F.col("_p.i0"), F.col("_p.i1"))).alias("_i"))
+              .select(*others, F.col("_p.rings").alias(rings), "_box", "_i",
+                      F.explode(H.span(F.col("_p.j0"), F.col("_p.j1"))).alias("_j")))
 
     rect, b = _block_box(F.col("_i"), F.col("_j"), res), F.col("_box")
     inside = ((b.xmin >= rect["xmin"]) & (b.xmax <= rect["xmax"])

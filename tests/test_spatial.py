@@ -255,3 +255,26 @@ def test_pixel_rules(spark):
     assert [(r.pixel_index, list(r.band)) for r in out] == [(0, [1.0, 3.0]), (1, [2.0, 4.0])]
     assert PX.pixel_step_degrees(9) == pytest.approx(43.5 / 111320)
     assert PX.pixel_scale_m(9) == 43.5 and PX.pixel_scale_m(11) == 10.0
+
+
+def test_polygons_take_one_way_and_large_ones_many_tasks(spark, tmp_path):
+    """One scan of the source; the pieces of one large polygon are dealt to many partitions, none is lost."""
+    side = 400 * H.edge(RES)
+    big = [(0.0, 0.0), (side, 0.0), (side, side / 2), (side / 2, side / 2), (side / 2, side), (0.0, side)]
+    shapes(spark, ("Polygon", [big]), ("Polygon", [[(5.0, 5.0), (9.0, 5.0), (9.0, 9.0)]])).write.parquet(str(tmp_path / "p"))
+    source = spark.read.parquet(str(tmp_path / "p"))
+    cut = SP.clip_polygons(source, RES)
+    assert cut._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("FileScan parquet") == 1
+    blocks = SP.split_to_blocks(source.where("feature_id = '0'"), RES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        used = blocks.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert used == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    area = {r.feature_id: r.a for r in cut.groupBy("feature_id").agg(F.sum("area_m2").alias("a")).collect()}
+    assert area["0"] == pytest.approx(0.75 * side * side, rel=1e-9) and area["1"] == pytest.approx(8.0)
+    whole = SP.clip_polygons(source, RES, spread=False)
+    key = lambda r: (r.feature_id, r.cell_id)
+    for a, b in zip(sorted(cut.collect(), key=key), sorted(whole.collect(), key=key), strict=True):
+        assert key(a) == key(b) and a.area_m2 == pytest.approx(b.area_m2, rel=1e-9)
