@@ -361,6 +361,7 @@ def sql() -> dict[str, str]:
       round(case when fid%3=0 then x0 else x0+p_size/2e0 end,4) cx,
       round(case fid%3 when 0 then y0 when 1 then y0+p_size*2e0/3 else y0+p_size/2e0 end,4) cy
       from ({squares(1)})"""
+    out["geometry_decode_bytes"] = out["geometry_decode"]
     out["hex_features_wide"] = f"""{WIDE} select g.cell_id, round({CELL_AREA},4) cell_area_m2,
       round(coalesce(rd.v,0e0),4) total_road_length_m, coalesce(po.poi_count_total,0) poi_count_total,
       coalesce(bu.n,0) building_count, round(coalesce(lu.total,0e0),4) landuse_total_area_m2,

@@ -13,7 +13,7 @@ from hexloom.operators import features as FE
 from hexloom.operators import spatial as SP
 from hexloom.plans import testbed as TB
 from hexloom.sources import lake, pixels as PX
-from hexloom.sources.geometry_decode import from_geojson
+from hexloom.sources.geometry_decode import decode, from_geojson
 from hexloom.streaming import pixels as PS
 from hexloom.streaming.incidents import scratch
 
@@ -268,6 +268,23 @@ def geometry_decode(spark, folder):
     text = F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}"))
     shapes = (TB.table(spark, folder, "part").select(key, from_geojson(text).alias("g"))
               .select("p_partkey", "g.geom_type", "g.rings"))
+    return _measures(shapes)
+
+
+def geometry_decode_bytes(spark, folder):
+    """The same shapes from well-known bytes."""
+    key = F.col("p_partkey")
+    x, y, s = TB.plane_x(key, 2000), TB.plane_y(key, 2000), F.col("p_size")
+    corners = [G.point(x, y), G.point(x, y + s), G.point(x + s, y + s), G.point(x + s, y)]
+    kind = F.when(key % 3 == 0, "Point").when(key % 3 == 1, "LineString").otherwise("Polygon")
+    rings = F.array(F.when(key % 3 == 0, F.array(corners[0])).when(key % 3 == 1, F.array(*corners))
+                    .otherwise(F.array(*corners, corners[0])))
+    made = TB.table(spark, folder, "part").select(key, TB.to_wkb(kind, rings).alias("geometry"))
+    return _measures(decode(made))
+
+
+def _measures(shapes):
+    """Area, length and centroid of decoded shapes."""
     c = G.any_centroid(F.col("rings"), F.col("geom_type"))
     polygon = F.col("geom_type") == "Polygon"
     return rounded(shapes.select(
@@ -387,7 +404,7 @@ QUERIES = {f.__name__: f for f in (
     road_speed_weighted, road_flag_fractions, road_surface_width, road_names_routes,
     road_attributes, building_hex, building_part_hex, landuse_hex, landcover_fraction,
     bathymetry_hex, division_counts, hex_grid, cell_outline, bbox_filter, polygon_filter,
-    line_filter, boundary_filter_slit, utm_project, geometry_decode, hex_features_wide, hex_ml_features, hex_ml_schema,
+    line_filter, boundary_filter_slit, utm_project, geometry_decode, geometry_decode_bytes, hex_features_wide, hex_ml_features, hex_ml_schema,
     schema_violations, layer_manifest, satellite_hex_mean,
     satellite_stream_mean, satellite_summary,
     merge_features_embeddings, merge_match_counts, pixel_grid)}

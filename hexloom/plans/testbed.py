@@ -6,6 +6,10 @@ of a query grows with the table. Coordinates are whole numbers on a square plane
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -236,3 +240,21 @@ def mixed_features(spark: SparkSession, folder: str) -> DataFrame:
     return (kind(places, "p", "Point").unionByName(kind(nested_roads(spark, folder), "r", "LineString"))
             .unionByName(kind(polygons(spark, folder, 10), "s", "Polygon"))
             .unionByName(kind(polygons(spark, folder, 100), "l", "Polygon")))
+
+
+def to_wkb(kind: Column, rings: Column) -> Column:
+    """Well-known bytes of points, lines and polygons, little-endian with two dimensions."""
+    codes = {"Point": 1, "LineString": 2, "Polygon": 3}
+
+    def one(name: str, parts: list) -> bytes:
+        blocks = [b"".join(struct.pack("<dd", p["x"], p["y"]) for p in part) for part in parts]
+        head = struct.pack("<BI", 1, codes[name])
+        if name == "Point":
+            return head + blocks[0]
+        sized = [struct.pack("<I", len(part)) + block for part, block in zip(parts, blocks)]
+        return head + (sized[0] if name == "LineString" else struct.pack("<I", len(parts)) + b"".join(sized))
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for names, shapes in batches:
+            yield pa.array([one(n, g) for n, g in zip(names.to_pylist(), shapes.to_pylist())], pa.binary())
+    return F.arrow_udf(run, "binary").asNondeterministic()(kind, rings)

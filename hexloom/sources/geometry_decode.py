@@ -115,22 +115,61 @@ def _turned(ring: np.ndarray, shell: bool) -> np.ndarray:
     return ring[::-1] if (doubled < 0) == shell and doubled != 0 else ring
 
 
+def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]], np.ndarray]:
+    """Points and lines of two little-endian dimensions, read from the batch's buffer all at once.
+
+    Returns the type code of these rows (0 for all others), one (row, points of the part) for each
+    code, and the coordinates in that order.
+    """
+    limits = np.frombuffer(values.buffers()[1], dtype=np.int32)[values.offset:values.offset + len(values) + 1].astype(np.int64)
+    data = np.frombuffer(values.buffers()[2] or b"", dtype=np.uint8)
+    at, size = limits[:-1], np.diff(limits)
+    size = np.where(values.is_valid().to_numpy(zero_copy_only=False), size, 0)
+    word = lambda rows, shift: data[(at[rows] + shift)[:, None] + np.arange(4)].copy().view("<u4").ravel()
+    little = np.flatnonzero(size >= 9)
+    little = little[data[at[little]] == 1]
+    found = np.zeros(len(values), dtype=np.int64)
+    code = word(little, 1)
+    points = little[(code == 1) & (size[little] == 21)]
+    lines = little[code == 2]
+    n = word(lines, 5).astype(np.int64)
+    fits = size[lines] == 9 + 16 * n
+    lines, n = lines[fits], n[fits]
+    found[points], found[lines] = 1, 2
+    owner, k = np.repeat(np.arange(len(lines)), n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    begin = np.concatenate([at[points] + 5, at[lines][owner] + 9 + 16 * k])
+    xy = data[begin[:, None] + np.arange(16)].copy().view("<f8").reshape(-1, 2)
+    return found, [(points, np.ones(len(points), dtype=np.int64)), (lines, n)], xy
+
+
 def _decode_batch(values: pa.Array) -> pa.Array:
-    kinds, outer, inner, blocks = [], [0], [0], []
-    for item in values:
-        raw = item.as_py()
-        kind, parts = _read_wkb(bytes(raw)) if raw else (None, [])
-        kinds.append(kind if parts else None)
-        for p in parts:
-            blocks.append(p)
-            inner.append(inner[-1] + len(p))
-        outer.append(len(inner) - 1)
-    xy = np.concatenate(blocks) if blocks else np.empty((0, 2))
-    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], fields=list(_XY))
-    lines = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), points)
+    """Points and lines by columns, the other types one geometry at a time."""
+    values = values.cast(pa.binary())
+    code, parts, xy = _plain_parts(values)
+    row, size = (np.concatenate(v) for v in zip(*parts))
+    kinds = np.array([None, WKB_KINDS[1], WKB_KINDS[2]], dtype=object)[code]
+    blocks, more_row, more_size = [xy], [], []
+    for i in np.flatnonzero(code == 0):
+        raw = values[i].as_py()
+        kinds[i], found = _read_wkb(raw) if raw else (None, [])
+        blocks += found
+        more_row += [i] * len(found)
+        more_size += map(len, found)
+    row, size = np.concatenate([row, more_row]).astype(np.int64), np.concatenate([size, more_size]).astype(np.int64)
+    xy = np.concatenate(blocks)
+    begin = np.cumsum(size) - size
+    # a part without a number is no part
+    empty = np.concatenate([[0], np.cumsum(~np.isnan(xy).all(axis=1))])
+    real = empty[begin + size] > empty[begin]
+    order = np.flatnonzero(real)[np.argsort(row[real], kind="stable")]
+    row, size, begin = row[order], size[order], begin[order]
+    take = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    outer = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(values)))])
+    kinds[np.diff(outer) == 0] = None
+    points = pa.StructArray.from_arrays([pa.array(xy[take, 0]), pa.array(xy[take, 1])], fields=list(_XY))
+    lines = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), points)
     rings = pa.ListArray.from_arrays(pa.array(outer, pa.int32()), lines)
-    return pa.StructArray.from_arrays(
-        [pa.array(kinds, pa.string()), rings], names=["geom_type", "rings"])
+    return pa.StructArray.from_arrays([pa.array(kinds.tolist(), pa.string()), rings], names=["geom_type", "rings"])
 
 
 def _wkb_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -139,8 +178,11 @@ def _wkb_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def from_wkb(data: Column) -> Column:
-    """STRUCT<geom_type,rings> from bytes, one Arrow batch at a time."""
-    return F.arrow_udf(_wkb_batches, GEOMETRY_TYPE)(data)
+    """STRUCT<geom_type,rings> from bytes, one Arrow batch at a time.
+
+    Marked as not deterministic, so a filter on the result isn't pushed below it, which would decode twice.
+    """
+    return F.arrow_udf(_wkb_batches, GEOMETRY_TYPE).asNondeterministic()(data)
 
 
 def decode(df: DataFrame, geometry: str = "geometry") -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,32 @@ def test_wkb_and_geojson_agree(spark):
     assert tuple(empty.select(GD.from_wkb(F.col("b"))["geom_type"], GD.from_geojson(F.col("t"))).first()) == (None, None)
 
 
+def test_points_and_lines_are_read_by_columns(spark, monkeypatch):
+    """Only other types, byte orders and dimensions are read one by one; each row is decoded once."""
+    nan = float("nan")
+    big = b"\x00" + struct.pack(">I", 1) + struct.pack(">dd", 7.0, 8.0)
+    deep = b"\x01" + struct.pack("<I", 1001) + struct.pack("<ddd", 3.0, 4.0, 5.0)
+    line = [(float(i), float(-i)) for i in range(5)]
+    rows = [wkb("Point", [[(1.0, 2.0)]]), None, wkb("LineString", [line]), big, wkb("Point", [[(nan, nan)]]), deep, b"",
+            wkb("LineString", [[]]), wkb("Polygon", [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]]), wkb("LineString", [line[:2]]),
+            b"\x01" + struct.pack("<I", 17), wkb("Point", [[(nan, 2.0)]])]
+    slow, read = [], GD._read_wkb
+    monkeypatch.setattr(GD, "_read_wkb", lambda raw: (slow.append(raw), read(raw))[1])
+    for start in (0, 3):  # a slice of a batch has an offset
+        got = GD._decode_batch(pa.array([b"x" * 40] * start + rows, pa.binary()).slice(start)).to_pylist()
+        points = [g["rings"] and [[(p["x"], p["y"]) for p in part] for part in g["rings"]] for g in got]
+        assert [g["geom_type"] for g in got] == ["Point", None, "LineString", "Point", None, "Point", None, None, "Polygon",
+                                                 "LineString", None, "Point"]
+        assert points[0] == [[(1.0, 2.0)]] and points[2] == [line] and points[3] == [[(7.0, 8.0)]]
+        assert points[5] == [[(3.0, 4.0)]] and points[9] == [line[:2]] and points[8] == [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]]
+    assert set(slow) == {big, deep, rows[8], rows[10]}
+    assert GD._decode_batch(pa.array([], pa.binary())).to_pylist() == []
+    df = spark.createDataFrame([(i, bytearray(r) if r is not None else None) for i, r in enumerate(rows)], "id int, geometry binary")
+    plan = GD.decode(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [r.id for r in GD.decode(df).orderBy("id").collect()] == [0, 2, 3, 5, 8, 9, 11]
+
+
 def test_repair_and_finite(spark):
     nan = float("nan")
     df = shapes(spark, ("Polygon", [[(0, 0), (0, 0), (5, 0), (5, 5), (0, 0)]]), ("Polygon", [[(0, 0), (nan, 1), (2, 2)]]),
