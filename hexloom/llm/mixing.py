@@ -9,7 +9,8 @@ leaves the rest to the others in proportion to their weights.
 Scale: no window spans a source or the whole table. Running sums come in two levels: totals per
 (source, slice of the shuffle) or per slice of virtual time, running sums over these totals, and
 windows inside one slice. There are as many slices as the square root of the rows, so both levels
-stay small together. The cut is a per-source table (last epoch and key), so texts are never shuffled.
+stay small together. The table of sources is broadcast up to a checked size and merged beyond it. The
+cut is a per-source table (last epoch and key), so texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from hexloom.llm.common import prepare, set_aside, stored, table
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
+#: Up to so many characters, with 100 for each row, the table of sources is broadcast.
+SENT_CHARS = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -37,13 +40,13 @@ def _slice(key: Column, slices: int) -> Column:
     return F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * slices / F.lit(2.0 ** 32))
 
 
-def _join(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, *keys: str, sent=lambda df: df) -> DataFrame:
     """Left join on keys that may be null; columns of the right side follow without its keys."""
     renamed = right.select(*[F.col(c).alias(f"_{c}" if c in keys else c) for c in right.columns])
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return left.join(renamed, same, "left").drop(*[f"_{k}" for k in keys])
+    return left.join(sent(renamed), same, "left").drop(*[f"_{k}" for k in keys])
 
 
 def source_table(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
@@ -94,6 +97,9 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     count = rows.count()
     slices = max(1, int(count ** 0.5))
     sources = stored(source_table(rows, weights, share, epochs), "mix-sources")
+    chars = sources.agg(F.sum(F.coalesce(F.length("source"), F.lit(0)) + 100)).first()[0] or 0
+    # a third of all rows may share a source: a small table meets them where they are
+    sent = F.broadcast if chars <= SENT_CHARS else (lambda df: df)
 
     # 1. finish times: running words inside (source, slice), plus the slices before
     sliced = rows.filter("size > 0").withColumn("slice", _slice(F.col("mix_key"), slices))
@@ -104,7 +110,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     inside = (Window.partitionBy("source", "slice").orderBy("mix_key", "doc_id", "size", "rid")
               .rowsBetween(Window.unboundedPreceding, 0))
     placed = _join(_join(sliced.withColumn("inside", F.sum("size").over(inside)), before, "source", "slice"),
-                   sources.drop("target"), "source")
+                   sources.drop("target"), "source", sent=sent)
     placed = placed.withColumn("upto", F.col("before") + F.col("inside"))
     entries = (placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
                .withColumn("finish", ((F.col("epoch") * F.col("source_size") + F.col("upto")).cast("double")
@@ -136,7 +142,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     # 3. the cut of each source: its last entry in (epoch, key) order; applied without a shuffle of texts
     cuts = taken.groupBy("source").agg(F.max(F.struct("epoch", "mix_key", "doc_id", "size", "rid")).alias("cut"))
     by_source = _join(sources, cuts, "source")
-    out = _join(rows, by_source, "source")
+    out = _join(rows, by_source, "source", sent=sent)
     own = F.struct("mix_key", "doc_id", "size", "rid")
     limit = F.struct(F.col("cut.mix_key").alias("mix_key"), F.col("cut.doc_id").alias("doc_id"),
                      F.col("cut.size").alias("size"), F.col("cut.rid").alias("rid"))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from hexloom.llm import mixing
 from hexloom.llm.mixing import SQL, mix_documents, mix_sizes, op7_mixing, source_table
 from tests.oracle_check import compare, connect
 
@@ -84,6 +85,14 @@ def test_long_texts_and_clashing_names(spark):
     assert out.count() and all(r[3:] == ("keep",) * len(names) for r in map(tuple, out.collect()))
 
 
+def test_many_sources_are_merged(spark, monkeypatch):
+    rows = [(i, f"s{i % 60}", 1 + i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    sent = sorted(map(str, mix_sizes(df).collect()))
+    monkeypatch.setattr(mixing, "SENT_CHARS", 0)
+    assert sorted(map(str, mix_sizes(df).collect())) == sent
+
+
 def test_query_matches_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert compare(spark, connect(folder), op7_mixing, SQL, folder) == []
