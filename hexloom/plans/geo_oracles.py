@@ -398,8 +398,8 @@ def sql() -> dict[str, str]:
     out["hex_ml_schema"] = f"""select count(*) hexes, cast(65+9+155+130+4+23+14+2+5+5+2+2 as integer) raw_columns,
       cast(26+13+3 + 8 + 153+5 + 128 + 23 + 12 + 2 + 2 + 3 + 1 as integer) log_columns, 8 indicator_columns from ({GRID})"""
     out["satellite_summary"] = f"""select round(avg(pixel_count),6) avg_pixels_per_hex, count(*) hexes from ({PIXEL_MEANS})"""
-    out["merge_features_embeddings"] = f"""select c.cell_id, c.connector_count_total, round(m.A00,6) A00,
-      round(m.A31,6) A31, round(m.A63,6) A63 from ({CONNECTOR_SQL}) c left join ({PIXEL_MEANS}) m on c.cell_id=m.cell_id"""
+    out["merge_features_embeddings"] = f"""select c.cell_id, c.connector_count_total,
+      {', '.join(f'round(m.A{i:02d},6) A{i:02d}' for i in range(64))} from ({CONNECTOR_SQL}) c left join ({PIXEL_MEANS}) m on c.cell_id=m.cell_id"""
     out["merge_match_counts"] = f"""select count(*) hexes, count(m.cell_id) matched, count(*)-count(m.cell_id) unmatched
       from ({CONNECTOR_SQL}) c left join ({PIXEL_MEANS}) m on c.cell_id=m.cell_id"""
     out["pixel_grid"] = f"""select tile, cast(px as integer) px, cast(py as integer) py,

@@ -382,7 +382,7 @@ def satellite_summary(spark, folder):
 def merge_features_embeddings(spark, folder):
     """Connector features with embeddings; unmatched cells keep null bands."""
     merged = FE.merge_embeddings(connector_layer(spark, folder), satellite_means(spark, folder))
-    return rounded(merged.select("cell_id", "connector_count_total", "A00", "A31", "A63"), 6)
+    return rounded(merged.drop("connector_density_per_km2"), 6)
 
 
 def merge_match_counts(spark, folder):

@@ -6,18 +6,20 @@ import logging
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexloom.functions import geometry as G
 from hexloom.functions import hexgrid as H
 from hexloom.functions import kernels as K
+from hexloom.functions import projection as P
 from hexloom.functions.plan import once
 from hexloom.operators import features as FE
 from hexloom.operators import spatial as SP
 from hexloom.plans.extract import ALL_LAYERS, Zone, extract_all, is_current, zone_of
 from hexloom.sinks import writers as W
 from hexloom.sources import lake
+from hexloom.sources import pixels as PX
 
 log = logging.getLogger(__name__)
 
@@ -35,6 +37,12 @@ def in_metres(layer: DataFrame, zone: Zone) -> DataFrame:
             .withColumn("rings", K.to_utm_rings(F.col("_g"), zone.number, zone.south)).drop("_g"))
 
 
+def in_degrees(rings: Column, zone: Zone) -> Column:
+    """Rings in UTM metres back in longitude and latitude."""
+    back = lambda p: P.from_utm(p.x, p.y, zone.number, zone.south)
+    return F.transform(rings, lambda ring: F.transform(ring, back))
+
+
 def _first_points(layer: DataFrame, zone: Zone, res: int) -> DataFrame:
     """Cell of the first vertex, for point layers."""
     p = F.get(F.get("rings", F.lit(0)), F.lit(0))
@@ -83,9 +91,10 @@ def layer_features(spark: SparkSession, folder: str, layer: str, zone: Zone, res
 
 
 def release_grid(boundary: DataFrame, zone: Zone, res: int) -> DataFrame:
-    """Grid of a boundary with cell outlines in metres."""
+    """Grid of a boundary with cell outlines in longitude and latitude."""
     cells = SP.hex_grid(in_metres(boundary.select("rings"), zone), res)
-    return cells.select("cell_id", "cell_area_m2", H.outline(F.col("q"), F.col("r"), res).alias("rings"))
+    corners = in_degrees(H.outline(F.col("q"), F.col("r"), res), zone)
+    return cells.select("cell_id", "cell_area_m2", corners.alias("rings"))
 
 
 def table_path(folder: str, name: str, res: int) -> str:
@@ -118,6 +127,23 @@ def aggregate_layers(spark: SparkSession, folder: str, boundary: DataFrame, res:
     return target
 
 
+def satellite_means(tiles: DataFrame, bands: Sequence[str], zone: Zone, res: int) -> DataFrame:
+    """Band means per cell from raster tiles in degrees: (cell_id, pixel_count, A00, ...)."""
+    spots = PX.tile_pixels(tiles, list(bands), [])
+    metres = spots.select("band", P.to_utm(F.col("x"), F.col("y"), zone.number, zone.south).alias("_p"))
+    placed = SP.assign_points(metres, res, F.col("_p.x"), F.col("_p.y"))
+    return FE.pixel_means(placed, len(bands))
+
+
+def aggregate_satellite(spark: SparkSession, tiles: DataFrame, bands: Sequence[str], boundary: DataFrame,
+                        folder: str, res: int = 9, resume: bool = True) -> str:
+    """Write the band means of a release; returns their path. A finished table is kept with ``resume``."""
+    target = table_path(folder, "satellite", res)
+    if not (resume and lake.layer_exists(spark, folder, f"satellite_res{res:02d}")):
+        satellite_means(tiles, bands, zone_of(boundary), res).write.mode("overwrite").parquet(target)
+    return target
+
+
 def combine(spark: SparkSession, features_path: str, means_path: str, out_path: str) -> None:
     """Feature table with the embedding means of its cells."""
     merged = FE.merge_embeddings(spark.read.parquet(features_path), spark.read.parquet(means_path))

@@ -49,3 +49,19 @@ def unpack_tile(tiles: DataFrame, bands: list[str], key: list[str]) -> DataFrame
     exploded = tiles.select(*key, F.posexplode(zipped).alias("_i", "_v"))
     return exploded.select(*key, F.col("_i").alias("pixel_index"),
                            F.array(*[F.col("_v")[b] for b in bands]).alias("band"))
+
+
+def tile_pixels(tiles: DataFrame, bands: list[str], key: list[str]) -> DataFrame:
+    """One row per pixel of raster tiles: key, band array and the pixel centre x, y in the tile's unit.
+
+    A tile has xmin, ymin, xmax, ymax, its width in pixels and one array per band, row by row from the
+    top. A tile without pixels gives no row; where bands differ in length, the shorter end in nulls.
+    """
+    c = F.col
+    sized = tiles.withColumn("_n", F.greatest(*[F.size(b) for b in bands], F.lit(0)))
+    flat = unpack_tile(sized, bands, [*key, "xmin", "ymin", "xmax", "ymax", "width", "_n"])
+    px, py = c("pixel_index") % c("width"), F.floor(c("pixel_index") / c("width"))
+    height = F.ceil(c("_n") / c("width"))
+    return flat.select(
+        *key, "band", (c("xmin") + (px + 0.5) * ((c("xmax") - c("xmin")) / c("width"))).alias("x"),
+        (c("ymax") - (py + 0.5) * ((c("ymax") - c("ymin")) / height)).alias("y"))

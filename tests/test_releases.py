@@ -9,6 +9,7 @@ from hexloom import schema as S
 from hexloom.functions import geometry as G
 from hexloom.plans import releases as HP
 from hexloom.sources import lake
+from hexloom.sources import pixels as PX
 from tests.test_spatial import ring, wkb
 
 LON, LAT = 151.20, -33.86
@@ -129,3 +130,42 @@ def test_box_filter_reaches_the_reader(spark, lake_folder):
 def test_row_counts(spark):
     got = lake.row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert {(r.layer, r.row_count) for r in got.collect()} == {("a", 3), ("b", 0)}
+
+
+def test_tile_pixels_run_by_rows_from_the_top(spark):
+    tiles = spark.createDataFrame([
+        ("a", 0.0, 0.0, 30.0, 20.0, 3, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], [7.0, 8.0, 9.0, 1.0, 2.0]),
+        ("none", 0.0, 0.0, 30.0, 20.0, 3, [], []), ("null", 0.0, 0.0, 30.0, 20.0, 3, None, None)],
+        "tile string, xmin double, ymin double, xmax double, ymax double, width int, p array<double>, q array<double>")
+    got = [(r.x, r.y, r.band) for r in PX.tile_pixels(tiles, ["p", "q"], ["tile"]).orderBy("band").collect()]
+    assert got == [(5.0, 15.0, [1.0, 7.0]), (15.0, 15.0, [2.0, 8.0]), (25.0, 15.0, [3.0, 9.0]),
+                   (5.0, 5.0, [4.0, 1.0]), (15.0, 5.0, [5.0, 2.0]), (25.0, 5.0, [6.0, None])]
+
+
+def test_satellite_step_to_combined_table(spark, released, city, tmp_path):
+    """Tiles in degrees cover part of the grid; their cells carry means, the others null."""
+    x, y = at(2, 2)
+    nan = float("nan")
+    tiles = spark.createDataFrame([(x, y, x + 5 * STEP, y + 5 * STEP, 2, [1.0, 3.0, nan, 3.0], [2.0, 4.0, 9.0, 4.0])],
+                                  "xmin double, ymin double, xmax double, ymax double, width int, a array<double>, b array<double>")
+    out = str(tmp_path)
+    path = HP.aggregate_satellite(spark, tiles, ["a", "b"], city, out)
+    means = spark.read.parquet(path)
+    assert means.agg(F.sum("pixel_count")).first()[0] == 3
+    assert {(r.A00, r.A01) for r in means.collect()} == {(1.0, 2.0), (3.0, 4.0)}
+    # a finished table stays
+    assert HP.aggregate_satellite(spark, tiles.limit(0), ["a", "b"], city, out) == path
+    assert spark.read.parquet(path).count() == means.count()
+    features = HP.table_path(f"{released[0]}/r1", "hex_features", 9)
+    HP.combine(spark, features, path, f"{out}/combined")
+    joined = spark.read.parquet(f"{out}/combined")
+    assert joined.count() == spark.read.parquet(features).count()
+    assert joined.where("A00 IS NOT NULL").count() == means.count()
+
+
+def test_grid_outlines_are_degrees(spark, city):
+    zone = HP.zone_of(city)
+    cells = HP.release_grid(city, zone, 9).collect()
+    corners = [p for r in cells for p in r.rings[0]]
+    assert len(corners) == 6 * len(cells)
+    assert all(abs(p.x - LON) < 0.02 and abs(p.y - LAT) < 0.02 for p in corners)
