@@ -144,9 +144,9 @@ def test_tile_pixels_run_by_rows_from_the_top(spark):
 
 def test_satellite_step_to_combined_table(spark, released, city, tmp_path):
     """Tiles in degrees cover part of the grid; their cells carry means, the others null."""
-    x, y = at(2, 2)
+    x, y = at(1, 1)
     nan = float("nan")
-    tiles = spark.createDataFrame([(x, y, x + 5 * STEP, y + 5 * STEP, 2, [1.0, 3.0, nan, 3.0], [2.0, 4.0, 9.0, 4.0])],
+    tiles = spark.createDataFrame([(x, y, x + 8 * STEP, y + 8 * STEP, 2, [1.0, 3.0, nan, 3.0], [2.0, 4.0, 9.0, 4.0])],
                                   "xmin double, ymin double, xmax double, ymax double, width int, a array<double>, b array<double>")
     out = str(tmp_path)
     path = HP.aggregate_satellite(spark, tiles, ["a", "b"], city, out)
