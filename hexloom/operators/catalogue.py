@@ -282,6 +282,11 @@ def preview(datasets: DataFrame, n: int = 100) -> DataFrame:
     return datasets.limit(n)
 
 
+def without_range(datasets: DataFrame) -> DataFrame:
+    """Datasets that a timeline cannot show: no range, or one without a start."""
+    return datasets.where(F.col("temporal_range.start").isNull())
+
+
 def timeline(datasets: DataFrame, now: Column) -> DataFrame:
     """Datasets with a range in category order, then by start; open ends reach to now."""
     start, end = F.col("temporal_range.start"), F.col("temporal_range.end")

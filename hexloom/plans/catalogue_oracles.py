@@ -132,6 +132,13 @@ def sql() -> dict[str, str]:
       select id, category, {ordinal} ordinal, t0 as start, e as "end", {fy('t0')} start_year, {fy('e')} end_year,
         epoch_ms(cast(t0 as timestamp)) start_ms, epoch_ms(cast(e as timestamp)) end_ms
       from (select *, coalesce(t1, date '2025-03-01') e from {D}) where t0 is not null"""
+    out["undated_datasets"] = f"select id, name, timespan from {D} where t0 is null"
+    side = lambda v: f"case when doc_id%4=0 then cast({v} as double) end"
+    out["catalogue_document"] = f"""select id, name, category, region, stage, pair_id, timespan, cast(null as varchar) license,
+      cast(null as varchar) source_url, maintainer, cast(size_bytes as bigint) size_bytes, cast(file_count as bigint) file_count,
+      format, last_modified, description, cast(t0 as date) as start, cast(t1 as date) as "end", {side('doc_id%360-180')} west,
+      {side('doc_id%150-80')} south, {side('doc_id%360-179')} east, {side('doc_id%150-78')} north,
+      array_to_string(tags, ',') tags from {D}"""
     out["visible_tags"] = f"""select id, coalesce(array_to_string(tags[1:3], ','), '') visible,
       cast(greatest(coalesce(len(tags),0)-3, 0) as integer) hidden from {D}"""
     age = f"(epoch({NOW})-epoch(last_modified))"

@@ -13,6 +13,7 @@ from hexloom.plans.geo_queries import rounded
 from hexloom.plans.incident_queries import naive
 from hexloom.sinks import writers as W
 from hexloom.sources import catalogue as SC
+from hexloom.streaming.incidents import scratch
 
 NOW = "2025-03-01 00:00:00"
 
@@ -146,6 +147,23 @@ def timeline(spark, folder):
     return rounded(C.timeline(datasets(spark, folder), now()))
 
 
+def undated_datasets(spark, folder):
+    return C.without_range(datasets(spark, folder)).select("id", "name", "timespan")
+
+
+def catalogue_document(spark, folder):
+    """The catalogue written as a document and read back, every member of every record."""
+    target = scratch(spark, "catalogue")
+    W.write_catalogue(datasets(spark, folder), target, now())
+    back = SC.read_catalogue(spark, target)
+    corner = lambda i, n: F.get("bbox", F.lit(i)).alias(n)
+    return naive(back).select(
+        *[c for c in back.columns if c not in ("temporal_range", "bbox", "tags")],
+        F.col("temporal_range.start").alias("start"), F.col("temporal_range.end").alias("end"),
+        corner(0, "west"), corner(1, "south"), corner(2, "east"), corner(3, "north"),
+        F.array_join("tags", ",").alias("tags"))
+
+
 def visible_tags(spark, folder):
     v = C.visible_tags(datasets(spark, folder))
     return v.select("id", F.array_join("visible", ",").alias("visible"), "hidden")
@@ -199,5 +217,5 @@ def speed_summary(spark, folder):
 QUERIES = {f.__name__: f for f in (
     catalogue_kpis, category_stats, region_stats, growth_curve, pair_impact, format_histogram,
     prefix_stats, prefix_datasets, bbox_union, category_lists, raw_with_processed, pair_siblings,
-    related_top3, dataset_search, text_search, palette_search, timeline, visible_tags,
+    related_top3, dataset_search, text_search, palette_search, timeline, undated_datasets, catalogue_document, visible_tags,
     dataset_labels, path_labels, file_routing, layer_gaps, speed_summary)}

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexloom.functions import values as V
+from hexloom.sources.catalogue import MEMBERS
 
 
 def write_layer(df: DataFrame, folder: str, layer: str) -> None:
@@ -104,12 +105,15 @@ def content_type(name: Column) -> Column:
 
 
 def write_catalogue(datasets: DataFrame, folder: str, generated_at: Column) -> None:
-    """Catalogue document as sorted JSON lines plus a one-row header.
+    """Catalogue document as sorted JSON lines, one record each, plus a one-row header.
 
+    The members have the names of a ``{"datasets": [...]}`` document; ``read_catalogue`` reads them.
     Written by range, so no task holds the whole document; part files follow the sort order.
     """
     base = folder.rstrip("/")
-    (datasets.orderBy(F.desc("size_bytes"), "id").write.mode("overwrite").json(f"{base}/datasets"))
+    records = datasets.orderBy(F.desc("size_bytes"), "id").withColumnsRenamed(MEMBERS)
+    (records.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .json(f"{base}/datasets"))
     header = datasets.agg(F.count(F.lit(1)).alias("dataset_count"),
                           F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"))
     (header.withColumn("generated_at", generated_at).coalesce(1)

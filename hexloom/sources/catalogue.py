@@ -51,3 +51,10 @@ def datasets_of(text: DataFrame, column: str = "value") -> DataFrame:
     parsed = F.from_json(column, f"datasets array<struct<{record}>>")
     return (text.select(F.explode(parsed["datasets"]).alias("d"))
             .select(*[F.col(f"d.{MEMBERS.get(f.name, f.name)}").alias(f.name) for f in DATASET.fields]))
+
+
+def read_catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Dataset records of a written catalogue; members that no record has are null."""
+    shape = ",".join(f"{MEMBERS.get(f.name, f.name)} {f.dataType.simpleString()}" for f in DATASET.fields)
+    lines = spark.read.schema(shape).json(f"{folder.rstrip('/')}/datasets")
+    return lines.withColumnsRenamed({member: name for name, member in MEMBERS.items()})

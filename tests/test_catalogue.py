@@ -106,6 +106,14 @@ def test_listing_and_document_round_trip(spark, tmp_path):
     assert (header.dataset_count, header.total_size_bytes) == (2, 10)
     text = [json.loads(r.value)["id"] for r in spark.read.text(str(tmp_path / "doc" / "datasets")).collect()]
     assert text == ["b", "a"]
+    moment = dt.datetime(2025, 1, 2, 3, 4, 5, 678901)
+    odd = rows(spark, dict(id="line\nbreak", name='"', pair_id="", size_bytes=None, tags=["a", None], bbox=[1.5, -2.0, 3.0, 4.0],
+                           temporal_range={"start": dt.date(2020, 1, 1), "end": None}, last_modified=moment), dict(id="z"))
+    W.write_catalogue(odd, str(tmp_path / "odd"), F.lit("now"))
+    again = SC.read_catalogue(spark, str(tmp_path / "odd")).select(*odd.columns)
+    assert sorted(map(str, again.collect())) == sorted(map(str, odd.collect()))
+    W.write_catalogue(odd.limit(0), str(tmp_path / "none"), F.lit("now"))
+    assert SC.read_catalogue(spark, str(tmp_path / "none")).count() == 0
     record = {"datasets": [{"id": "z", "sizeBytes": 3, "pairId": "p", "temporalRange": {"start": "2020-01-01"}}]}
     back = SC.datasets_of(spark.createDataFrame([(json.dumps(record),)], "value string")).first()
     assert (back.id, back.size_bytes, back.pair_id, back.temporal_range.start) == ("z", 3, "p", dt.date(2020, 1, 1))
