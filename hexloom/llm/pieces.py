@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import re
 import weakref
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,9 @@ MARK = "▁"
 #: What an unknown character costs below the lowest score; the value of the format's reader.
 UNKNOWN_PENALTY = 10.0
 #: Runs that a worker's cache holds, and what one batch of texts may add.
-CACHE_SIZE = 400_000
-#: Bytes of a run up to which many runs are searched at once.
-SHORT = 48
+CACHE_SIZE = 150_000
+#: Bytes of a run up to which many runs are searched at once, and how many are: some 8 MB of sums.
+SHORT, ABREAST = 48, 8192
 
 
 class DoubleArray:
@@ -127,14 +128,16 @@ class Pieces:
         of best_path(), which long runs and runs with unknown characters take.
         """
         texts = [r.encode("utf-8", "surrogatepass") for r in runs]
-        short = [k for k, t in enumerate(texts) if len(t) <= SHORT]
+        # runs of like length walk together
+        short = sorted((k for k, t in enumerate(texts) if len(t) <= SHORT), key=lambda k: len(texts[k]))
         out: list[bytes | None] = [None] * len(runs)
-        if short:
-            sizes = np.array([len(texts[k]) for k in short])
+        for low in range(0, len(short), ABREAST):
+            some = short[low:low + ABREAST]
+            sizes = np.array([len(texts[k]) for k in some])
             width = int(sizes.max())
-            letters = np.zeros((len(short), width), dtype=np.int32)
-            letters[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(texts[k] for k in short), dtype=np.uint8)
-            for k, ids in zip(short, self._side_by_side(letters, sizes, width)):
+            letters = np.zeros((len(some), width), dtype=np.int32)
+            letters[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(texts[k] for k in some), dtype=np.uint8)
+            for k, ids in zip(some, self._side_by_side(letters, sizes, width)):
                 out[k] = ids
         return [ids if ids is not None else np.array(self.best_path(r), dtype="<i4").tobytes()
                 for r, ids in zip(runs, out)]
@@ -290,9 +293,23 @@ def _appended(rows: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, name])
 
 
-#: Of a worker, by model; the texts of a batch that are looked up together.
+#: Of a worker, by model; the characters of a batch's texts that are looked up together, a longer text alone.
 _lookups: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-TOGETHER = 250
+TOGETHER = 500_000
+
+
+def _together(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Consecutive texts of TOGETHER characters at most, or one text."""
+    part, size = [], 0
+    for text in texts:
+        more = len(text or "")
+        if part and size + more > TOGETHER:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += more
+    if part:
+        yield part
 
 
 def worker_lookup(model: Pieces):
@@ -318,7 +335,7 @@ def encode_texts(docs: DataFrame, pieces: Pieces, column: str = "ids", verified:
 
         def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
             texts = rows.column(at).to_pylist()
-            found = [x for low in range(0, len(texts), TOGETHER) for x in encode(texts[low:low + TOGETHER])]
+            found = [x for part in _together(texts) for x in encode(part)]
             parts, n, same = zip(*found) if found else ((), (), ())
             ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
