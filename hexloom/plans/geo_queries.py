@@ -16,6 +16,7 @@ from hexloom.sources import lake, pixels as PX
 from hexloom.sources.geometry_decode import decode, from_geojson
 from hexloom.streaming import pixels as PS
 from hexloom.streaming.incidents import scratch
+from hexloom.streaming.replay import replay
 
 RES = TB.RES
 
@@ -368,11 +369,11 @@ def satellite_hex_mean(spark, folder):
 
 
 def satellite_stream_mean(spark, folder):
-    """The same means from a stream with saved partial sums."""
-    shape = TB.table(spark, folder, "embeddings").schema
-    raw = spark.readStream.schema(shape).option("pathGlobFilter", "embeddings.parquet").parquet(folder)
-    placed = at_points(TB.pixel_columns(raw))
-    return rounded(PS.resumable_means(spark, placed, 64, scratch(spark, "pixels")), 6)
+    """The same means from a stream with saved partial sums; vectors land slice by slice, each call goes on."""
+    home = scratch(spark, "pixels")
+    replay(TB.table(spark, folder, "embeddings"), F.col("vec_id").cast("long"),
+           lambda landed: PS.add_sums(at_points(TB.pixel_columns(landed)), 64, home), name="pixels")
+    return rounded(PS.saved_means(spark, 64, home), 6)
 
 
 def satellite_summary(spark, folder):

@@ -10,6 +10,7 @@ from hexloom.operators import incidents as I
 from hexloom.plans import testbed as TB
 from hexloom.sources.snapshots import features
 from hexloom.streaming import incidents as SI
+from hexloom.streaming.replay import replay
 
 
 def naive(df: DataFrame) -> DataFrame:
@@ -238,42 +239,40 @@ def incident_durations(spark, folder):
         "raw_payload", V.duration_minutes(F.col("start_time"), F.col("collected_at")).alias("minutes"))
 
 
-def _event_stream(spark, folder) -> DataFrame:
-    shape = TB.table(spark, folder, "events").schema
-    raw = spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return plain_incidents(raw.withColumn("ts", F.col("ts").cast("timestamp")))
-
-
-def _stream_result(spark, stream: DataFrame, mode: str, name: str) -> str:
+def _replayed(spark, folder, transform, mode: str, name: str) -> str:
+    """Events land in the order of their time, slice by slice; the query is started again for each."""
     out, state = SI.scratch(spark, f"{name}-out"), SI.scratch(spark, f"{name}-state")
-    SI.run_to_end(stream, mode, SI.append_batches(out), state)
+
+    def step(landed: DataFrame) -> None:
+        SI.run_to_end(transform(plain_incidents(landed)), mode, SI.append_batches(out), state)
+    rows = TB.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value",
+                                                    F.col("ts").cast("timestamp").alias("ts"))
+    replay(rows, F.unix_micros("ts"), step, name=name)
     return out
 
 
 def incident_stream_dedup(spark, folder):
-    """Stream: each (incident, version) once."""
-    stream = SI.deduplicated(_event_stream(spark, folder), "40 days")
-    out = _stream_result(spark, stream.select("incident_id", "last_updated"), "append", "dedup")
+    """Stream: each (incident, version) once. A version is seen within one day, so older state goes."""
+    out = _replayed(spark, folder, lambda s: SI.deduplicated(s, "1 day").select("incident_id", "last_updated"),
+                    "append", "dedup")
     return naive(spark.read.parquet(out).drop("batch"))
 
 
 def incident_hourly(spark, folder):
-    """Stream: observations per hour and source."""
-    out = _stream_result(spark, SI.hourly_counts(_event_stream(spark, folder), "1 day", "source"),
-                         "update", "hourly")
+    """Stream: observations per hour and source; hours more than a day old leave the state."""
+    out = _replayed(spark, folder, lambda s: SI.hourly_counts(s, "1 day", "source"), "update", "hourly")
     return naive(SI.newest_rows(spark, out, ["hour", "source"]))
 
 
 def incident_stream_lifecycle(spark, folder):
     """Stream: first and last sighting per incident."""
-    out = _stream_result(spark, SI.sightings(_event_stream(spark, folder)), "update", "sightings")
+    out = _replayed(spark, folder, SI.sightings, "update", "sightings")
     return naive(SI.newest_rows(spark, out, ["incident_id"]))
 
 
 def incident_closed(spark, folder):
     """Stream: incidents that were not seen for an hour, by a timer per incident."""
-    stream = SI.closed_incidents(_event_stream(spark, folder), "1 hour", 60)
-    out = _stream_result(spark, stream, "append", "closed")
+    out = _replayed(spark, folder, lambda s: SI.closed_incidents(s, "1 hour", 60), "append", "closed")
     return naive(spark.read.parquet(out).drop("batch"))
 
 

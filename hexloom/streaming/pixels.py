@@ -22,6 +22,22 @@ def merge_sums(partials: DataFrame, bands: int) -> DataFrame:
         F.expr(f"sum(s{i:02d}) / {n}").alias(f"A{i:02d}") for i in range(bands)])
 
 
+def _home(folder: str, grid: str) -> str:
+    return f"{folder.rstrip('/')}/grid={grid}"
+
+
+def add_sums(pixels: DataFrame, bands: int, folder: str, grid: str = "all") -> None:
+    """Save the partial sums of what is new in a stream of tile files."""
+    home = _home(folder, grid)
+    save = append_batches(f"{home}/sums")
+    run_to_end(pixels, "append", lambda batch, i: save(partial_sums(batch, bands), i), f"{home}/state")
+
+
+def saved_means(spark: SparkSession, bands: int, folder: str, grid: str = "all") -> DataFrame:
+    """Means of everything saved so far."""
+    return merge_sums(spark.read.parquet(f"{_home(folder, grid)}/sums"), bands)
+
+
 def resumable_means(spark: SparkSession, pixels: DataFrame, bands: int, folder: str,
                     grid: str = "all") -> DataFrame:
     """Means over a stream of tile files; a second call goes on where the first one stopped.
@@ -29,7 +45,5 @@ def resumable_means(spark: SparkSession, pixels: DataFrame, bands: int, folder:
     Progress is kept per ``grid``, a text that names the tiling: another tiling starts afresh.
     Tiles without valid pixels are done once read.
     """
-    home = f"{folder.rstrip('/')}/grid={grid}"
-    save = append_batches(f"{home}/sums")
-    run_to_end(pixels, "append", lambda batch, i: save(partial_sums(batch, bands), i), f"{home}/state")
-    return merge_sums(spark.read.parquet(f"{home}/sums"), bands)
+    add_sums(pixels, bands, folder, grid)
+    return saved_means(spark, bands, folder, grid)

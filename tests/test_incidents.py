@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from hexloom.operators import incidents as I
+from hexloom.plans import incident_queries as Q
 from hexloom.sinks import writers as W
 from hexloom.sources import snapshots as SN
 from hexloom.streaming import incidents as SI
@@ -227,3 +228,58 @@ def test_update_mode_rows_reduce_to_the_batch_result(spark, tmp_path):
     got = {tuple(r) for r in SI.newest_rows(spark, str(tmp_path / "out"), ["incident_id"]).collect()}
     static = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     assert got == {tuple(r) for r in I.lifecycle(static).collect()}
+
+
+def test_a_late_sighting_opens_no_spell_again(spark, tmp_path):
+    # a batch is late by the watermark that the batch before it began with
+    batches = [[("a", 0)], [("b", 10)], [("b", 12)], [("a", 1)], [("c", 20)]]
+    stream = SI.closed_incidents(observations(spark, tmp_path / "in", batches), "1 minute", 60)
+    got = [(r.incident_id, r.first_seen.hour, r.sightings) for r in run(spark, stream, tmp_path).collect()]
+    assert sorted(got) == [("a", 0, 1), ("b", 10, 1), ("b", 12, 1)]
+
+
+def test_replay_gives_equal_rows_for_any_number_of_slices(spark):
+    """One query that is started again for 1 and 7 slices, and one that goes on over 30 files, one a batch."""
+    from hexloom.streaming.replay import replay, slice_bounds
+    rows = (spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+            .withColumn("ts", F.col("ts").cast("timestamp")))
+    make = {"dedup": (lambda s: SI.deduplicated(s, "1 day").select("incident_id", "last_updated"), "append"),
+            "closed": (lambda s: SI.closed_incidents(s, "1 hour", 60), "append"),
+            "hourly": (lambda s: SI.hourly_counts(s, "1 day", "source"), "update")}
+
+    def result(kind, out):
+        if kind == "hourly":
+            return sorted(map(tuple, SI.newest_rows(spark, out, ["hour", "source"]).collect()))
+        return sorted(map(tuple, spark.read.parquet(out).drop("batch").collect()))
+
+    def restarted(kind, slices):
+        transform, mode = make[kind]
+        out, state, steps = SI.scratch(spark, "t-out"), SI.scratch(spark, "t-state"), []
+
+        def step(landed):
+            steps.append(SI.run_to_end(transform(Q.plain_incidents(landed)), mode, SI.append_batches(out), state))
+        assert replay(rows, F.unix_micros("ts"), step, slices) == len(steps) == slices
+        return result(kind, out)
+
+    def in_one_go(kind, files):
+        transform, mode = make[kind]
+        inbox, out, state = (SI.scratch(spark, n) for n in ("t-in", "t-out", "t-state"))
+        for low, high in slice_bounds(rows, F.unix_micros("ts"), files):
+            part = rows.where((F.unix_micros("ts") >= low) & (F.unix_micros("ts") < high))
+            part.coalesce(1).write.mode("append").parquet(inbox)
+        landed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        SI.run_to_end(transform(Q.plain_incidents(landed)), mode, SI.append_batches(out), state)
+        return result(kind, out)
+    for kind in make:
+        assert restarted(kind, 1) == restarted(kind, 7) != []
+    assert in_one_go("closed", 30) == restarted("closed", 1)
+
+
+def test_replay_of_an_empty_table_and_of_rows_without_time(spark):
+    from hexloom.streaming.replay import replay
+    rows = spark.createDataFrame([(1, None), (2, 5), (3, 9)], "id long, at long")
+    for df, spans, expected in ((rows, 3, [1, 2, 3]), (rows.limit(0), 1, []), (rows.where("at is null"), 1, [1])):
+        out, state = SI.scratch(spark, "e-out"), SI.scratch(spark, "e-state")
+        landed = replay(df, F.col("at"), lambda s: SI.run_to_end(s, "append", SI.append_batches(out), state), 3)
+        assert landed == spans
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == expected
