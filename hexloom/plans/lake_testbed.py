@@ -72,7 +72,7 @@ def place(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     alternates = F.when(key % 3 == 0, F.array(F.concat(F.lit("S"), key % 7), F.lit(None), F.lit("shop")))
     return _points(
-        TB.table(spark, folder, "customer"), "place", "c_custkey", TB.SIDE["customer"],
+        TB.wide_table(spark, folder, "customer", "c_custkey", "c_mktsegment"), "place", "c_custkey", TB.SIDE["customer"],
         F.when(key % 10 == 0, "Polygon").otherwise("Point"),
         names=F.struct(F.when(key % 5 != 0, F.concat(F.lit("Place "), key)).alias("primary")),
         categories=F.struct(F.when(key % 7 != 0, F.col("c_mktsegment")).alias("primary"), alternates.alias("alternate")),
@@ -139,7 +139,7 @@ def address(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def connector(spark: SparkSession, folder: str) -> DataFrame:
-    return _points(TB.table(spark, folder, "orders"), "connector", "o_orderkey", TB.SIDE["orders"])
+    return _points(TB.wide_table(spark, folder, "orders", "o_orderkey"), "connector", "o_orderkey", TB.SIDE["orders"])
 
 
 def division(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,15 +6,17 @@ of a query grows with the table. Coordinates are whole numbers on a square plane
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexloom.functions import attributes as A
 from hexloom.functions import geometry as G
+from hexloom.functions import kernels as K
 from hexloom.session import fill_cluster
 
 RES = 9
@@ -242,19 +244,42 @@ def mixed_features(spark: SparkSession, folder: str) -> DataFrame:
             .unionByName(kind(polygons(spark, folder, 100), "l", "Polygon")))
 
 
-def to_wkb(kind: Column, rings: Column) -> Column:
-    """Well-known bytes of points, lines and polygons, little-endian with two dimensions."""
-    codes = {"Point": 1, "LineString": 2, "Polygon": 3}
+def _wkb_batch(names: pa.Array, shapes: pa.Array) -> pa.Array:
+    """The bytes of a batch in one buffer: heads, counts and vertices are put where they belong at once."""
+    points = shapes.values.values
+    if any(v.null_count for v in (names, shapes, shapes.values, points.field(0), points.field(1))):
+        raise ValueError("a geometry without type or coordinates has no well-known bytes")
+    g = K._Rings(shapes)
+    code = np.asarray(pc.index_in(names, value_set=pa.array(["Point", "LineString", "Polygon"]))) + 1
+    area = code == 3
+    if ((g.end_ring - g.first_ring < 1) & ~area).any():
+        raise ValueError("a point or a line has one part")
+    row, part = K._counting(g.first_ring, np.where(area, g.end_ring - 1, g.first_ring))
+    n, sized, head = (g.stop - g.start)[part], code[row] != 1, 5 + 4 * area
+    size = 16 * n + 4 * sized
+    limits = np.concatenate([[0], np.cumsum(head + np.bincount(row, weights=size, minlength=g.rows).astype(np.int64))])
+    data, at = np.zeros(limits[-1], dtype=np.uint8), limits[:-1]
+
+    def put(where: np.ndarray, values: np.ndarray) -> None:
+        width = values.dtype.itemsize * (2 if values.ndim == 2 else 1)
+        data[where[:, None] + np.arange(width)] = values.view(np.uint8).reshape(-1, width)
+    word = lambda values: values.astype("<u4")
+    data[at] = 1
+    put(at + 1, word(code))
+    put(at[area] + 5, word((g.end_ring - g.first_ring)[area]))
+    before = np.cumsum(size) - size
+    first = np.searchsorted(row, np.arange(g.rows))
+    block = (at + head)[row] + before - before[first[row]]
+    put(block[sized], word(n[sized]))
+    owner, vertex = K._counting(g.start[part], g.stop[part] - 1)
+    put((block + 4 * sized)[owner] + 16 * (vertex - g.start[part][owner]),
+        np.stack([g.x[vertex], g.y[vertex]], 1).astype("<f8"))
+    return pa.Array.from_buffers(pa.binary(), g.rows, [None, pa.py_buffer(limits.astype(np.int32)), pa.py_buffer(data)])
 
-    def one(name: str, parts: list) -> bytes:
-        blocks = [b"".join(struct.pack("<dd", p["x"], p["y"]) for p in part) for part in parts]
-        head = struct.pack("<BI", 1, codes[name])
-        if name == "Point":
-            return head + blocks[0]
-        sized = [struct.pack("<I", len(part)) + block for part, block in zip(parts, blocks)]
-        return head + (sized[0] if name == "LineString" else struct.pack("<I", len(parts)) + b"".join(sized))
 
+def to_wkb(kind: Column, rings: Column) -> Column:
+    """Well-known bytes of points, lines and polygons, little-endian with two dimensions."""
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for names, shapes in batches:
-            yield pa.array([one(n, g) for n, g in zip(names.to_pylist(), shapes.to_pylist())], pa.binary())
+            yield _wkb_batch(names, shapes)
     return F.arrow_udf(run, "binary").asNondeterministic()(kind, rings)
