@@ -124,12 +124,15 @@ def last_version(parsed: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 
 def normalise_b(features: DataFrame) -> DataFrame:
-    """Two lists per poll (``list_no``); the later list wins per id, then type and box filters."""
+    """Two lists per poll (``list_no``); the later list wins per id, then type and box filters.
+
+    Only the id is read ahead of the choice, so texts alone are sorted; what is chosen is parsed in full.
+    """
     p = F.col("p")
-    parsed = parse_features(features, FEED_B).where(p["id"].isNotNull())
-    single = last_version(parsed.withColumn("_id", p["id"]), ["collected_at", "_id"],
-                          ["list_no", "position"])
-    kept = single.where(p["event_type"].isin(*KEPT_EVENT_TYPES) & _inside(FEED_B))
+    native = F.from_json("feature", "properties struct<id:string>")["properties"]["id"]
+    named = features.select("*", once(native).alias("_id")).where(F.col("_id").isNotNull())
+    single = last_version(named, ["collected_at", "_id"], ["list_no", "position"]).drop("_id")
+    kept = parse_features(single, FEED_B).where(p["event_type"].isin(*KEPT_EVENT_TYPES) & _inside(FEED_B))
     road, span = p["road_summary"], p["duration"]
     time = V.iso_time
     return _conform(kept, FEED_B, {

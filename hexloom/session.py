@@ -55,15 +55,20 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Rows that a task of heavy per-row work gets at most, about.
+TASK_ROWS = 250_000
+
+
 def fill_cluster(df):
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Spread a scan that has fewer splits than the cluster has cores, or too few for its rows.
 
-    A table in one row group is read by one task, whatever follows. Fewer splits than cores means
-    little data, so the exchange is small; a large table has more splits and passes unchanged.
+    A table in one row group is read by one task, whatever follows, and a compressed split can hold millions
+    of rows. The rows are counted from the file footers; tasks grow in number with them, not in length.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    wanted = max(cores, -(-df.count() // TASK_ROWS))
+    return df.repartition(wanted) if splits < wanted else df
 
 
 def shared_folder(spark: SparkSession) -> str:
