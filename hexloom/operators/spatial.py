@@ -152,6 +152,12 @@ def hex_grid(boundary: DataFrame, res: int, rings: str = "rings", spread: bool =
 BROADCAST_VERTICES = 500_000
 
 
+def shared_grid(boundary: DataFrame, rings: str = "rings"):
+    """The broadcast edge grid of a boundary of at most ``BROADCAST_VERTICES`` vertices."""
+    outline = boundary.select(F.col(rings).cast(G.RINGS_TYPE).alias("g")).toArrow()["g"].combine_chunks()
+    return boundary.sparkSession.sparkContext.broadcast(EG.EdgeGrid(outline))
+
+
 def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "rings",
                         kind: str = "geom_type", boundary_rings: str = "rings") -> DataFrame:
     """Features that meet the boundary polygon (even-odd rule); touching counts.
@@ -166,9 +172,7 @@ def filter_intersecting(features: DataFrame, boundary: DataFrame, rings: str = "
     near = (features.withColumn("_fb", once(G.bounds(F.col(rings))))
             .where(G.overlaps_box(f, box.xmin, box.ymin, box.xmax, box.ymax)).drop("_fb"))
     if vertices <= BROADCAST_VERTICES:
-        outline = boundary.select(F.col(boundary_rings).cast(G.RINGS_TYPE).alias("g")).toArrow()["g"].combine_chunks()
-        shared = boundary.sparkSession.sparkContext.broadcast(EG.EdgeGrid(outline))
-        return (near.withColumn("_hit", EG.meets(F.col(rings), F.col(kind), shared)).where("_hit")
+        return (near.withColumn("_hit", EG.meets(F.col(rings), F.col(kind), shared_grid(boundary, boundary_rings))).where("_hit")
                 .select(*features.columns))
     frame = EG.Frame(box.xmin, box.ymin, box.xmax, box.ymax, vertices)
     tiles = (boundary.select(F.explode(EG.tile_rows(F.col(boundary_rings), F.lit("Polygon"), frame)).alias("_b"))

@@ -16,10 +16,10 @@ from hexloom.functions import attributes as A
 from hexloom.functions import geometry as G
 from hexloom.functions import kernels as K
 from hexloom.functions import projection as P
-from hexloom.operators.spatial import bounds_of, filter_intersecting
+from hexloom.operators import spatial as SP
 from hexloom.sinks.writers import write_layer
 from hexloom.sources import lake
-from hexloom.sources.geometry_decode import decode
+from hexloom.sources.geometry_decode import decode, from_wkb_within
 
 log = logging.getLogger(__name__)
 
@@ -41,13 +41,24 @@ def zone_of(boundary: DataFrame, rings: str = "rings") -> Zone:
     return Zone(*P.zone_of_code(code))
 
 
-def within(source: DataFrame, boundary: DataFrame) -> DataFrame:
-    """Features that meet the boundary: box test on the struct column, then the exact test."""
-    box = bounds_of(boundary)
+def within(source: DataFrame, boundary: DataFrame, zone: Zone | None = None) -> DataFrame:
+    """Features that meet the boundary: box test on the struct column, then the exact test.
+
+    With a zone ``_area_m2`` holds their area. Bytes are decoded, tested and measured in one step, so a task
+    has one Python worker for the three; other geometry columns and very large outlines take the steps one by one.
+    """
+    box, vertices = SP.measure_boundary(boundary)
     if "bbox" in source.columns:
         source = source.where(G.overlaps_box(F.col("bbox"), box.xmin, box.ymin, box.xmax, box.ymax))
-    features = decode(source).withColumnRenamed("id", "feature_id").drop("bbox")
-    return filter_intersecting(features, boundary)
+    if "geometry" not in source.columns or source.schema["geometry"].dataType.typeName() != "binary" or vertices > SP.BROADCAST_VERTICES:
+        found = SP.filter_intersecting(decode(source).withColumnRenamed("id", "feature_id").drop("bbox"), boundary)
+        return found.withColumn("_area_m2", G.area(K.to_utm_rings(F.col("rings"), zone.number, zone.south))) if zone else found
+    where = None if zone is None else (zone.number, zone.south)
+    shape = from_wkb_within(F.col("geometry"), SP.shared_grid(boundary), (box.xmin, box.ymin, box.xmax, box.ymax), where)
+    names = [c for c in source.columns if c not in ("geometry", "bbox")]
+    found = source.withColumn("_g", shape).where(F.col("_g").isNotNull()).select(
+        *names, "_g.geom_type", "_g.rings", *([F.col("_g.area_m2").alias("_area_m2")] if zone else []))
+    return found.withColumnRenamed("id", "feature_id")
 
 
 def _columns(df: DataFrame, flat: dict[str, Column], kinds: Sequence[str] | None) -> DataFrame:
@@ -56,10 +67,6 @@ def _columns(df: DataFrame, flat: dict[str, Column], kinds: Sequence[str] | None
     return out.where(F.col("geom_type").isin(*kinds)) if kinds else out
 
 
-def _area(zone: Zone) -> Column:
-    return G.area(K.to_utm_rings(F.col("rings"), zone.number, zone.south))
-
-
 def _class(name: str = "class") -> Column:
     return F.coalesce(F.col(name), F.lit("unknown"))
 
@@ -81,9 +88,9 @@ def pois(places: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
 
 
 def buildings(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
-    return _columns(within(source, boundary), {
+    return _columns(within(source, boundary, zone), {
         "building_class": _class(), "height": A.number(F.col("height")),
-        "num_floors": A.number(F.col("num_floors")), "area_m2": _area(zone),
+        "num_floors": A.number(F.col("num_floors")), "area_m2": F.col("_area_m2"),
         "facade_material": F.col("facade_material"), "roof_material": F.col("roof_material"),
         "roof_shape": F.col("roof_shape"), "roof_height": A.number(F.col("roof_height")),
         "num_floors_underground": A.number(F.col("num_floors_underground")),
@@ -96,9 +103,9 @@ def landuse(land_use: DataFrame, land: DataFrame, water: DataFrame, boundary: Da
     none, no = F.lit(None).cast("string"), F.lit(False)
 
     def part(source, label, **extra):
-        flat = {"land_type": F.lit(label), "land_class": _class(), "area_m2": _area(zone),
+        flat = {"land_type": F.lit(label), "land_class": _class(), "area_m2": F.col("_area_m2"),
                 "land_subtype": none, "surface": none, "is_salt": no, "is_intermittent": no, **extra}
-        return _columns(within(source, boundary), flat, G.POLYGON_KINDS)
+        return _columns(within(source, boundary, zone), flat, G.POLYGON_KINDS)
 
     return (part(land_use, "land_use", land_subtype=F.col("subtype"), surface=F.col("surface"))
             .unionByName(part(land, "land", surface=F.col("surface")))
@@ -117,8 +124,8 @@ def infrastructure(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFr
 
 
 def land_cover(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
-    return _columns(within(source, boundary),
-                    {"landcover_subtype": _class("subtype"), "area_m2": _area(zone)}, G.POLYGON_KINDS)
+    return _columns(within(source, boundary, zone),
+                    {"landcover_subtype": _class("subtype"), "area_m2": F.col("_area_m2")}, G.POLYGON_KINDS)
 
 
 def connectors(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
@@ -127,9 +134,9 @@ def connectors(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
 
 def building_parts(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
     numbers = ("height", "num_floors", "num_floors_underground", "min_height")
-    return _columns(within(source, boundary), {
+    return _columns(within(source, boundary, zone), {
         "building_id": F.col("building_id"), **{n: A.number(F.col(n)) for n in numbers},
-        "is_underground": _false("is_underground"), "area_m2": _area(zone)}, G.POLYGON_KINDS)
+        "is_underground": _false("is_underground"), "area_m2": F.col("_area_m2")}, G.POLYGON_KINDS)
 
 
 def divisions(points: DataFrame, areas: DataFrame, lines: DataFrame, boundary: DataFrame,
@@ -148,7 +155,7 @@ def divisions(points: DataFrame, areas: DataFrame, lines: DataFrame, boundary: D
 
 
 def bathymetry(source: DataFrame, boundary: DataFrame, zone: Zone) -> DataFrame:
-    return _columns(within(source, boundary), {"area_m2": _area(zone)}, G.POLYGON_KINDS)
+    return _columns(within(source, boundary, zone), {"area_m2": F.col("_area_m2")}, G.POLYGON_KINDS)
 
 
 # Layer -> (job, lake types it reads, files it writes).

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexloom.functions import geometry as G
+from hexloom.functions import kernels as K
 
 GEOMETRY_TYPE = f"struct<geom_type:string,rings:{G.RINGS_TYPE}>"
 
@@ -115,8 +116,28 @@ def _turned(ring: np.ndarray, shell: bool) -> np.ndarray:
     return ring[::-1] if (doubled < 0) == shell and doubled != 0 else ring
 
 
+def _vertices_at(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Coordinate pairs that start at the given bytes, a bounded number at a time."""
+    out = np.empty((len(begin), 16), dtype=np.uint8)
+    for low in range(0, len(begin), 1 << 16):
+        out[low:low + (1 << 16)] = data[begin[low:low + (1 << 16), None] + np.arange(16)]
+    return out.view("<f8").reshape(-1, 2)
+
+
+def _turns(xy: np.ndarray, n: np.ndarray, owner: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of shells, given one after another: which run backwards, and which are too flat to tell by this sum."""
+    if not len(xy):
+        return np.zeros(len(n), dtype=bool), np.zeros(len(n), dtype=bool)
+    first = np.cumsum(n) - n
+    x, y = (xy - xy[first[owner]]).T
+    after = np.where(k + 1 < n[owner], np.arange(len(xy)) + 1, first[owner])
+    a, b = x * y[after], x[after] * y
+    doubled, scale = np.add.reduceat(a - b, first), np.add.reduceat(np.abs(a) + np.abs(b), first)
+    return (doubled < 0) & (n >= 3), ~(np.abs(doubled) > 1e-9 * scale) & (n >= 3)
+
+
 def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]], np.ndarray]:
-    """Points and lines of two little-endian dimensions, read from the batch's buffer all at once.
+    """Points, lines and polygons of one ring, little-endian in two dimensions, read from the batch's buffer at once.
 
     Returns the type code of these rows (0 for all others), one (row, points of the part) for each
     code, and the coordinates in that order.
@@ -131,23 +152,35 @@ def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, .
     found = np.zeros(len(values), dtype=np.int64)
     code = word(little, 1)
     points = little[(code == 1) & (size[little] == 21)]
-    lines = little[code == 2]
-    n = word(lines, 5).astype(np.int64)
-    fits = size[lines] == 9 + 16 * n
-    lines, n = lines[fits], n[fits]
-    found[points], found[lines] = 1, 2
-    owner, k = np.repeat(np.arange(len(lines)), n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    begin = np.concatenate([at[points] + 5, at[lines][owner] + 9 + 16 * k])
-    xy = data[begin[:, None] + np.arange(16)].copy().view("<f8").reshape(-1, 2)
-    return found, [(points, np.ones(len(points), dtype=np.int64)), (lines, n)], xy
+
+    def counted(rows, head):
+        n = word(rows, head - 4).astype(np.int64)
+        fits = size[rows] == head + 16 * n
+        return rows[fits], n[fits]
+
+    def vertices(rows, n, head, backwards=False):
+        owner, k = np.repeat(np.arange(len(rows)), n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        if backwards is not False:
+            k = np.where(backwards[owner], n[owner] - 1 - k, k)
+        return owner, k, _vertices_at(data, at[rows][owner] + head + 16 * k)
+    lines, n = counted(little[code == 2], 9)
+    areas = little[(code == 3) & (size[little] >= 29)]
+    areas, m = counted(areas[word(areas, 5) == 1], 13)
+    owner, k, xy = vertices(areas, m, 13)
+    backwards, flat = _turns(xy, m, owner, k)
+    areas, m, backwards = areas[~flat], m[~flat], backwards[~flat]
+    found[points], found[lines], found[areas] = 1, 2, 3
+    single = np.ones(len(points), dtype=np.int64)
+    xy = np.concatenate([vertices(points, single, 5)[2], vertices(lines, n, 9)[2], vertices(areas, m, 13, backwards)[2]])
+    return found, [(points, single), (lines, n), (areas, m)], xy
 
 
 def _decode_batch(values: pa.Array) -> pa.Array:
-    """Points and lines by columns, the other types one geometry at a time."""
+    """Points, lines and polygons of one ring by columns, the others one geometry at a time."""
     values = values.cast(pa.binary())
     code, parts, xy = _plain_parts(values)
     row, size = (np.concatenate(v) for v in zip(*parts))
-    kinds = np.array([None, WKB_KINDS[1], WKB_KINDS[2]], dtype=object)[code]
+    kinds = np.array([None, WKB_KINDS[1], WKB_KINDS[2], WKB_KINDS[3]], dtype=object)[code]
     blocks, more_row, more_size = [xy], [], []
     for i in np.flatnonzero(code == 0):
         raw = values[i].as_py()
@@ -185,6 +218,68 @@ def from_wkb(data: Column) -> Column:
     return F.arrow_udf(_wkb_batches, GEOMETRY_TYPE).asNondeterministic()(data)
 
 
+def _box_meets(g: K._Rings, box: tuple[float, float, float, float]) -> np.ndarray:
+    """Rows whose vertices' box meets the given one. NaN is the largest number, as for Column functions."""
+    row, ring = g.by_ring()
+    owner, at = K._counting(g.start[ring], g.stop[ring] - 1)
+    row = row[owner]
+    used = np.unique(row)
+    out = np.zeros(g.rows, dtype=bool)
+    if len(used):
+        first = np.searchsorted(row, used)
+        least = lambda v: np.fmin.reduceat(v[at], first)
+        most = lambda v: np.nan_to_num(np.maximum.reduceat(v[at], first), nan=np.inf, posinf=np.inf, neginf=-np.inf)
+        out[used] = ((least(g.x) <= box[2]) & (most(g.x) >= box[0]) & (least(g.y) <= box[3]) & (most(g.y) >= box[1]))
+    return out
+
+
+def ring_areas(column: pa.Array) -> np.ndarray:
+    """Signed area of every row, ``geometry.area`` step by step: all rings take the same vertex at a time."""
+    g = K._Rings(column)
+    row, ring = g.by_ring()
+    n = (g.stop - g.start)[ring]
+    solid = np.flatnonzero(n >= 3)
+    solid = solid[np.argsort(-n[solid], kind="stable")]
+    n, start = n[solid], g.start[ring[solid]]
+    ox, oy = g.x[start], g.y[start]
+    px, py = g.x[start + n - 1] - ox, g.y[start + n - 1] - oy
+    total = np.zeros(len(solid))
+    open_ = np.searchsorted(-n, -np.arange(n[0]) if len(n) else [], side="left")
+    for k, m in enumerate(open_):
+        x, y = g.x[start[:m] + k] - ox[:m], g.y[start[:m] + k] - oy[:m]
+        total[:m] = (total[:m] + px[:m] * y) - x * py[:m]
+        px[:m], py[:m] = x, y
+    each = np.zeros(len(ring))
+    each[solid] = total / 2
+    out = np.zeros(g.rows)
+    np.add.at(out, row, each)
+    return out
+
+
+def from_wkb_within(data: Column, grid, box: tuple[float, float, float, float], zone: tuple[int, bool] | None = None) -> Column:
+    """STRUCT<geom_type,rings,area_m2> of the geometries that meet the polygon of a broadcast edge grid, else null.
+
+    Decoding, both tests and the area in metres of ``zone`` (null without one) share one Python worker and one
+    exchange with it; only what meets the polygon goes back.
+    """
+    def located(values: pa.Array) -> pa.Array:
+        shape = _decode_batch(values)
+        kinds, rings = shape.field(0), shape.field(1)
+        near = np.flatnonzero(_box_meets(K._Rings(rings), box))
+        near = near[grid.value.meets(rings.take(pa.array(near)), kinds.take(pa.array(near)))] if len(near) else near
+        kinds, rings = kinds.take(pa.array(near)), rings.take(pa.array(near))
+        areas = pa.nulls(len(near), pa.float64()) if zone is None or not len(near) else pa.array(ring_areas(K.utm_batch(rings, *zone)))
+        found = pa.StructArray.from_arrays([kinds, rings, areas], names=["geom_type", "rings", "area_m2"])
+        back = np.full(len(values), -1)
+        back[near] = np.arange(len(near))
+        return found.take(pa.array(back, mask=back < 0))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield located(batch)
+    return F.arrow_udf(run, f"struct<geom_type:string,rings:{G.RINGS_TYPE},area_m2:double>").asNondeterministic()(data)
+
+
 def decode(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Replace a WKB or GeoJSON column by ``geom_type`` and ``rings``; decoded input passes."""
     if "rings" in df.columns:
