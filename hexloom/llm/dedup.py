@@ -442,7 +442,8 @@ def one_per_group(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> Da
         F.col("text_hash").alias("_text_hash"))).alias("row")).select("row._doc_id", "row._text_hash")
     blank = F.coalesce(F.col("text").rlike(r"\A[\x20\x09-\x0D]*\z"), F.lit(True))
     hashed = docs.filter(~blank).withColumn("_hash", F.xxhash64("text"))
-    kept = (hashed.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    # the chosen rows grow with the documents: merged at every size, as they have to be at a large one
+    kept = (hashed.join(chosen.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
                         & (F.col("_hash") == F.col("_text_hash")))
             .dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns))
     return restored(docs.filter(blank).unionByName(kept))

@@ -10,7 +10,7 @@ Scale: no window spans a source or the whole table. Running sums come in two lev
 (source, slice of the shuffle) or per slice of virtual time, running sums over these totals, and
 windows inside one slice. There are as many slices as the square root of the rows, so both levels
 stay small together. The table of sources is broadcast up to a checked size and merged beyond it. The
-cut is a per-source table (last epoch and key), so texts are never shuffled.
+cut is a per-source table (last epoch and key), so texts are never shuffled while that table is broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexloom.functions.plan import once
 from hexloom.llm.common import prepare, set_aside, stored, table
 
 WEIGHTS = (5, 2, 1)
@@ -92,6 +93,22 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     numbered: as many of them are taken as the budget allows, which ones makes no difference. An
     empty table gives an empty result.
     """
+    rows, by_source, sent = _cuts(sizes, weights, share, epochs)
+    times = _times(F.struct("mix_key", "doc_id", "size", "rid"), "mix_key", "doc_id", "size", "rid")
+    return _join(rows, by_source, "source", sent=sent).select(
+        "doc_id", "source", "size", "source_size", "weight", "target",
+        (F.col("size") * times).cast("long").alias("taken"), times.cast("int").alias("copies"))
+
+
+def _times(own: Column, *order: str) -> Column:
+    """How often a row is taken, by its place before or after its source's cut."""
+    limit = F.struct(*[F.col(f"cut.{c}").alias(c) for c in order])
+    return F.when(F.col("cut").isNull() | (F.col("size") == 0), 0).otherwise(
+        F.col("cut.epoch") + F.when(own <= limit, 1).otherwise(0))
+
+
+def _cuts(sizes: DataFrame, weights: tuple[int, ...], share: float, epochs: int):
+    """Rows with their place in the shuffle, the table of sources with the last entry taken of each, and how it is sent."""
     rows = stored(sizes.withColumn("mix_key", shuffle_key("doc_id")).withColumn("rid", F.monotonically_increasing_id()),
                   "mix-sizes")
     count = rows.count()
@@ -141,15 +158,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
     # 3. the cut of each source: its last entry in (epoch, key) order; applied without a shuffle of texts
     cuts = taken.groupBy("source").agg(F.max(F.struct("epoch", "mix_key", "doc_id", "size", "rid")).alias("cut"))
-    by_source = _join(sources, cuts, "source")
-    out = _join(rows, by_source, "source", sent=sent)
-    own = F.struct("mix_key", "doc_id", "size", "rid")
-    limit = F.struct(F.col("cut.mix_key").alias("mix_key"), F.col("cut.doc_id").alias("doc_id"),
-                     F.col("cut.size").alias("size"), F.col("cut.rid").alias("rid"))
-    times = F.when(F.col("cut").isNull() | (F.col("size") == 0), 0).otherwise(
-        F.col("cut.epoch") + F.when(own <= limit, 1).otherwise(0))
-    return out.select("doc_id", "source", "size", "source_size", "weight", "target",
-                      (F.col("size") * times).cast("long").alias("taken"), times.cast("int").alias("copies"))
+    return rows, _join(sources, cuts, "source"), sent
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -161,24 +170,31 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
                   epochs: int = EPOCHS) -> DataFrame:
     """The mixed corpus: the given rows, each repeated as often as it is taken, all columns kept.
 
-    The decision reaches the texts through the id, so the text column crosses one exchange. Copies
+    A row's place against its source's cut follows from its id and size, so no text is exchanged. Copies
     of a row are equal rows; rows that share an id but differ count as separate documents. Of rows with
     equal id, source and size, the group at a source's cut may be taken once more in part; only such
     groups, one for each source at most, are numbered.
     """
-    rows, restored = set_aside(docs, "doc_id", "text", "source")
-    keyed = rows.withColumn("_size", word_count("text"))
-    decided = mix_sizes(measured(docs), weights, share, epochs).groupBy("doc_id", "source", "size").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("copies").alias("_low"), F.sum("copies").alias("_sum")).filter("_sum > 0")
-    decided = decided.select(F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"),
-                             F.col("size").alias("_s"), "_low", (F.col("_sum") - F.col("_n") * F.col("_low")).alias("_more"))
-    same = (F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("_size") == F.col("_s")))
-    met = keyed.join(stored(decided, "mix-copies"), same)
-    number = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_s").orderBy("text"))
-    parted = met.filter("_more > 0").withColumn("_copies", F.col("_low") + F.when(number <= F.col("_more"), 1).otherwise(0))
-    out = met.filter("_more = 0").withColumn("_copies", F.col("_low")).unionByName(parted).filter("_copies > 0")
-    return restored(out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
+    rows, by_source, sent = _cuts(measured(docs), weights, share, epochs)
+    cuts = stored(by_source.filter("cut is not null").select("source", "cut"), "mix-cuts")
+    order = ("mix_key", "doc_id", "size")
+    tie = F.struct(*order) == F.struct(*[F.col(f"cut.{c}").alias(c) for c in order])
+    # of the rows that tie with the cut, as many are taken once more as stand before it
+    more = (_join(rows.filter("size > 0"), cuts, "source", sent=sent).filter(F.col("cut").isNotNull() & tie & (F.col("rid") <= F.col("cut.rid")))
+            .groupBy("source").agg(F.count(F.lit(1)).alias("more")))
+
+    docs, restored = set_aside(docs, "doc_id", "text", "source")
+    met = _join(docs, cuts, "source", sent=sent).filter("cut is not null")
+    same_id = F.col("doc_id").eqNullSafe(F.col("cut.doc_id"))
+    sized = lambda df: df.select("*", once(word_count("text")).alias("size"), shuffle_key("doc_id").alias("mix_key"))
+    times = _times(F.struct(*order), *order)
+    apart = sized(met.filter(~same_id)).withColumn("copies", times)
+    close = _join(sized(met.filter(same_id)), more, "source").withColumn("tie", tie & (F.col("size") > 0))
+    number = F.row_number().over(Window.partitionBy("source", "tie").orderBy("text"))
+    close = close.withColumn("copies", F.when(F.col("tie"), F.col("cut.epoch") + F.when(number <= F.col("more"), 1).otherwise(0))
+                             .otherwise(times)).drop("more", "tie")
+    out = apart.unionByName(close).filter("copies > 0")
+    return restored(out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
 def op7_mixing(spark, folder: str) -> DataFrame:

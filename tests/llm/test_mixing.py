@@ -76,6 +76,36 @@ def test_repeated_rows_at_the_cut(spark, tmp_path):
     assert sum(len((r.text or "").split()) for r in mixed) == sum(r.taken for r in got)
 
 
+def test_rows_that_tie_with_the_cut(spark):
+    """Ids repeat and are null at the cut: the mixed rows are those that the sizes' decision takes."""
+    rows = [(None if i % 9 == 0 else i % 40, "w " * (1 + i % 3) + "v" * (i % 2), f"s{i % 4}") for i in range(900)]
+    rows += [(5, "a b", "one")] * 30 + [(None, "", "s1"), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {}
+    for r in mix_sizes(mixing.measured(df)).collect():
+        key = (r.doc_id, r.source, r["size"])
+        want[key] = want.get(key, 0) + r.copies
+    got = {}
+    for r in mix_documents(df).collect():
+        key = (r.doc_id, r.source, len((r.text or "").split()))
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_texts_are_not_exchanged(spark):
+    """However many documents there are, an exchange of the mix holds no text but that of an id at a cut."""
+    rows = [(i, "w " * 5, f"s{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mix_documents(df)._jdf.queryExecution().sparkPlan().toString()
+        most = plan.split("Union")[-1].split("Window")[0]  # all documents but those with the id of a cut
+        assert "BroadcastHashJoin" in most and "SortMergeJoin" not in most
+        assert mix_documents(df).count() == 300
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_long_texts_and_clashing_names(spark):
     names = ["_size", "_doc_id", "_source", "_s", "_copies", "_low", "_more", "size", "copies", "mix_key", "a.b"]
     rows = [(i, "w " * (200_000 if i == 3 else 5), f"s{i % 2}", *["keep"] * len(names)) for i in range(6)]
