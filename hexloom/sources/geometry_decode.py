@@ -136,8 +136,8 @@ def _turns(xy: np.ndarray, n: np.ndarray, owner: np.ndarray, k: np.ndarray) -> t
     return (doubled < 0) & (n >= 3), ~(np.abs(doubled) > 1e-9 * scale) & (n >= 3)
 
 
-def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]], np.ndarray]:
-    """Points, lines and polygons of one ring, little-endian in two dimensions, read from the batch's buffer at once.
+def _plain_parts(values: pa.Array, shells: bool = False) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]], np.ndarray]:
+    """Points, lines and, with ``shells``, polygons of one ring, little-endian in two dimensions, read from the batch's buffer at once.
 
     Returns the type code of these rows (0 for all others), one (row, points of the part) for each
     code, and the coordinates in that order.
@@ -164,7 +164,7 @@ def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, .
             k = np.where(backwards[owner], n[owner] - 1 - k, k)
         return owner, k, _vertices_at(data, at[rows][owner] + head + 16 * k)
     lines, n = counted(little[code == 2], 9)
-    areas = little[(code == 3) & (size[little] >= 29)]
+    areas = little[(code == 3) & (size[little] >= 29)] if shells else little[:0]
     areas, m = counted(areas[word(areas, 5) == 1], 13)
     owner, k, xy = vertices(areas, m, 13)
     backwards, flat = _turns(xy, m, owner, k)
@@ -175,10 +175,10 @@ def _plain_parts(values: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, .
     return found, [(points, single), (lines, n), (areas, m)], xy
 
 
-def _decode_batch(values: pa.Array) -> pa.Array:
-    """Points, lines and polygons of one ring by columns, the others one geometry at a time."""
+def _decode_batch(values: pa.Array, shells: bool = False) -> pa.Array:
+    """Points, lines and, with ``shells``, polygons of one ring by columns, the others one geometry at a time."""
     values = values.cast(pa.binary())
-    code, parts, xy = _plain_parts(values)
+    code, parts, xy = _plain_parts(values, shells)
     row, size = (np.concatenate(v) for v in zip(*parts))
     kinds = np.array([None, WKB_KINDS[1], WKB_KINDS[2], WKB_KINDS[3]], dtype=object)[code]
     blocks, more_row, more_size = [xy], [], []
@@ -263,7 +263,7 @@ def from_wkb_within(data: Column, grid, box: tuple[float, float, float, float],
     exchange with it; only what meets the polygon goes back.
     """
     def located(values: pa.Array) -> pa.Array:
-        shape = _decode_batch(values)
+        shape = _decode_batch(values, shells=True)
         kinds, rings = shape.field(0), shape.field(1)
         near = np.flatnonzero(_box_meets(K._Rings(rings), box))
         near = near[grid.value.meets(rings.take(pa.array(near)), kinds.take(pa.array(near)))] if len(near) else near
